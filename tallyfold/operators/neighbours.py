@@ -215,6 +215,23 @@ def radius_links(points: DataFrame, eps: float, metric: str = "euclidean") -> Da
     return cells.blocks(queries, eps).applyInPandas(forest, "a long, b long").filter("a <> b")
 
 
+def radius_best(queries: DataFrame, refs: DataFrame, eps: float, tag: str, metric: str = "euclidean") -> DataFrame:
+    """(rid, tag): the lowest tag among references (rid, vec, tag) within ``eps`` of each query (rid, vec)."""
+    cells = PivotCells(refs.select("rid", "vec", tag), 1, metric)
+
+    def lowest(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(r):
+            return pd.DataFrame({"rid": np.array([], "int64"), tag: np.array([], "int64")})
+        close = _distances(np.stack(q["vec"].to_numpy()), np.stack(r["vec"].to_numpy()), metric) <= eps
+        best = np.where(close, r[tag].to_numpy()[None, :], np.iinfo("int64").max).min(axis=1)
+        hit = close.any(axis=1)
+        return pd.DataFrame({"rid": q["qid"].to_numpy()[hit], tag: best[hit]})
+
+    asked = queries.select(F.col("rid").alias("qid"), "vec")
+    found = cells.blocks(asked, eps).applyInPandas(lowest, f"rid long, {tag} long")
+    return found.groupBy("rid").agg(F.min(tag).alias(tag))
+
+
 def knn_classify(train: DataFrame, evaluate: DataFrame, id_col: str, vec: str, label: str, k: int = 5,
                  weights: str = "uniform", p: int = 2) -> DataFrame:
     """(id, prediction, score): weighted vote of the k nearest training rows; ties go to the lower class.

@@ -103,3 +103,14 @@ def forward_fill(df: DataFrame, group: str, col: str, order: str) -> DataFrame:
     filled = stage_table(linked.filter(F.col("__filled").isNotNull()), "filled")
     out = df.join(filled, order, "left").withColumn(col, F.coalesce(F.col(col), F.col("__filled")))
     return out.select(*df.columns)
+
+
+def with_previous(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """Add ``value`` of the row before in ``order`` (null on the first row)."""
+    chunked = range_chunks(df, [order])
+    ends = chunked.groupBy(CHUNK).agg(F.max_by(value, order).alias("__end"))
+    before = W.partitionBy(F.lit(0)).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
+    carried = ends.select(CHUNK, F.last("__end", ignorenulls=True).over(before).alias("__carry"))
+    here = F.lag(value).over(W.partitionBy(CHUNK).orderBy(order))
+    linked = _attach(chunked.withColumn("__here", here), carried, [CHUNK])
+    return linked.withColumn(name, F.coalesce("__here", "__carry")).drop(CHUNK, "__here", "__carry")
