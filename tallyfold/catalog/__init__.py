@@ -1 +1,6 @@
+"""Registered queries and their SQL twins."""
 
+from tallyfold.catalog import cleaning, star  # noqa: F401
+from tallyfold.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
