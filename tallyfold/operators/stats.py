@@ -166,7 +166,7 @@ def skew_direction_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def iqr_limits(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Quartiles, inter-quartile range and the fences at 1.5 and 3 ranges, per column."""
-    q = exact_quantiles(df, cols, (0.25, 0.75)).withColumnsRenamed({"q0": "q1", "q1": "q3"})
+    q = exact_quantiles(df, cols, (0.25, 0.75)).select("column", F.col("q0").alias("q1"), F.col("q1").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     return q.withColumns({
         "lower": F.col("q1") - 1.5 * F.col("iqr"), "upper": F.col("q3") + 1.5 * F.col("iqr"),
