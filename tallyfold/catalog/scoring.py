@@ -235,8 +235,7 @@ _RUNS = ("ev AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in _RUN_COLS.items(
 
 
 def run_table(t: Tables) -> DataFrame:
-    t.events.createOrReplaceTempView("events")
-    return t.spark.sql(f"WITH {_RUNS} SELECT * FROM runs")
+    return t.spark.sql(f"WITH {_RUNS} SELECT * FROM runs".replace("FROM events", "FROM {events}"), events=t.events)
 
 
 _LATEST = """latest AS (SELECT experiment, run_id AS parent_id, name AS parent_name FROM runs WHERE parent_run_id IS NULL AND name <> 'Encoders'
