@@ -10,6 +10,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -230,11 +231,25 @@ def _renamed(tree):
     return tree
 
 
+def _next_round(rows: DataFrame, spent: list, r: int) -> DataFrame:
+    """Keep one round's weights at hand, release the ones before last, and cut the lineage every ten rounds."""
+    rows = stage_table(rows, "boost") if r % 10 == 9 else rows.persist(StorageLevel.MEMORY_AND_DISK)
+    spent.append(rows)
+    if len(spent) > 2:
+        spent.pop(0).unpersist()
+    return rows
+
+
+def _release(spent: list) -> None:
+    for rows in spent:
+        rows.unpersist()
+
+
 def fit_adaboost(df: DataFrame, label: str = "label", n: int = 50, lr: float = 1.0, depth: int = 1) -> BoostedVotes:
-    """Discrete AdaBoost on shallow trees. Weights are a closed form of the trees so far, cut every ten rounds."""
+    """Discrete AdaBoost on shallow trees; the driver only sees one error rate per round."""
     rows = stage_table(df.select("features", F.col(label).cast("double").alias("label"), F.lit(1.0).alias("w")), "boost")
     est = DecisionTreeClassifier(labelCol="label", weightCol="w", maxDepth=depth, seed=SEED)
-    out = BoostedVotes()
+    out, spent = BoostedVotes(), []
     for r in range(n):
         tree = est.fit(rows)
         scored = _renamed(tree).transform(rows)
@@ -250,8 +265,8 @@ def fit_adaboost(df: DataFrame, label: str = "label", n: int = 50, lr: float = 1
             break
         scale = one.n / one.total
         rows = scored.withColumn("w", F.col("w") * F.exp(F.lit(alpha) * miss) * F.lit(scale)).select("features", "label", "w")
-        if r % 10 == 9:
-            rows = stage_table(rows, "boost")
+        rows = _next_round(rows, spent, r)
+    _release(spent)
     return out
 
 
@@ -280,7 +295,7 @@ def fit_adaboost_r2(df: DataFrame, label: str = "label", n: int = 50, lr: float
     """AdaBoost.R2 with linear loss; row weights go to the tree directly instead of a weighted bootstrap."""
     rows = stage_table(df.select("features", F.col(label).cast("double").alias("label"), F.lit(1.0).alias("w")), "boost")
     est = DecisionTreeRegressor(labelCol="label", weightCol="w", maxDepth=depth, seed=SEED)
-    out = BoostedMedian()
+    out, spent = BoostedMedian(), []
     for r in range(n):
         tree = est.fit(rows)
         scored = _renamed(tree).transform(rows).withColumn("__e", F.abs(F.col("__pred") - F.col("label")))
@@ -300,8 +315,8 @@ def fit_adaboost_r2(df: DataFrame, label: str = "label", n: int = 50, lr: float
             break
         gain = F.pow(F.lit(beta), lr * (1 - F.col("__e") / worst))
         rows = scored.withColumn("w", F.col("w") * gain * F.lit(one.n / one.total)).select("features", "label", "w")
-        if r % 10 == 9:
-            rows = stage_table(rows, "boost")
+        rows = _next_round(rows, spent, r)
+    _release(spent)
     return out
 
 

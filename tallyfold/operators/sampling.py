@@ -42,7 +42,6 @@ def hash_cuts(df: DataFrame, id_col: str, strata: Sequence[str], targets: dict[s
     marks = (hist.withColumn("w", F.explode(wanted)).select("*", "w.*")
              .filter((F.col("size") > F.col("upto") - F.col("n")) & (F.col("size") <= F.col("upto")))
              .select(*strata, "b", "cut", (F.col("size") - F.col("upto") + F.col("n")).alias("need")))
-    marks = stage_table(marks, "marks")
     keys = [*strata, "b"]
     near = rows.join(marks.select(*keys).distinct().withColumnsRenamed({k: f"m_{k}" for k in keys}),
                      _pairs(keys), "left_semi")
