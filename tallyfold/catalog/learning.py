@@ -11,7 +11,7 @@ from tallyfold.operators import interpret, models, sampling, tuning
 from tallyfold.operators import metrics as K
 from tallyfold.operators.encode import assemble
 from tallyfold.plans import experiment as X
-from tallyfold.session import stage_table
+from tallyfold.session import spread, stage_table
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -25,7 +25,7 @@ def rows(t: Tables) -> DataFrame:
 
 
 def plan(t: Tables, strata=("y",)) -> DataFrame:
-    return stage_table(sampling.plan_splits(rows(t), "id", list(strata)), "plan")
+    return stage_table(sampling.plan_splits(stage_table(spread(rows(t)), "rows"), "id", list(strata)), "plan")
 
 
 def _class_run(t: Tables, name: str, number: int = 4, resampler: str = "none", **params) -> DataFrame:

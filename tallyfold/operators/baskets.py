@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators.rowsets import dedup
+from tallyfold.session import stage_table
 
 
 def clean_lines(df: DataFrame, txn: str, item: str, quantity: str | None = None, price: str | None = None) -> DataFrame:
@@ -31,13 +32,13 @@ def mine(transactions: DataFrame, min_support: float = 0.01, min_confidence: flo
 
 def frequent_itemsets(transactions: DataFrame, min_support: float = 0.01) -> DataFrame:
     """(items, freq, support), most frequent first."""
-    model = mine(transactions, min_support)
-    n = transactions.count()
+    transactions = stage_table(transactions, "baskets")
+    model, n = mine(transactions, min_support), transactions.count()
     sets = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq", (F.col("freq") / F.lit(n)).alias("support"))
     return sets.orderBy(F.desc("support"), "items")
 
 
 def association_rules(transactions: DataFrame, min_support: float = 0.01, min_confidence: float = 0.8) -> DataFrame:
     """(antecedent, consequent, confidence, lift, support)."""
-    rules = mine(transactions, min_support, min_confidence).associationRules
+    rules = mine(stage_table(transactions, "baskets"), min_support, min_confidence).associationRules
     return rules.withColumn("antecedent", F.array_sort("antecedent"))

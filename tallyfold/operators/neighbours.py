@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tallyfold.functions.hashing import SEED, hash32
 from tallyfold.operators.rowsets import first_per_key
-from tallyfold.session import stage_table
+from tallyfold.session import spread, stage_table
 
 BLOCK = 2048
 METRICS = ("euclidean", "manhattan")
@@ -119,7 +119,7 @@ class PivotCells:
 
 
 def _as_vectors(df: DataFrame, id_col: str, vec: str) -> DataFrame:
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    return spread(df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec")))
 
 
 def _distinct(vectors: DataFrame, name: str) -> DataFrame:

@@ -83,14 +83,16 @@ def running_totals(df: DataFrame, order: Sequence[str], sums: dict[str, str], gr
     return linked.drop(CHUNK, *[f"__{p}_{o}" for o in sums for p in ("b", "l")])
 
 
-def forward_fill(df: DataFrame, group: str, col: str, order: str) -> DataFrame:
+def forward_fill(df: DataFrame, group: str, col: str, order: str, source: DataFrame | None = None) -> DataFrame:
     """Carry the last known value of ``col`` forward inside ``group``; leading nulls stay null.
 
     ``order`` is a unique row id. Only groups with a gap take part, with three columns; the filled
-    cells are then joined back by id, so complete rows never move for it.
+    cells are then joined back by id, so complete rows never move for it. ``source`` may give the
+    three columns from a table that is cheaper to read than ``df``.
     """
-    gaps = df.filter(F.col(col).isNull()).select(group).distinct()
-    narrow = df.select(group, order, col).join(gaps, group, "left_semi")
+    base = df if source is None else source
+    gaps = base.filter(F.col(col).isNull()).select(group).distinct()
+    narrow = base.select(group, order, col).join(gaps, group, "left_semi")
     chunked = range_chunks(narrow, [group, order])
     keys = [group, CHUNK]
     last_known = F.max_by(col, F.when(F.col(col).isNotNull(), F.col(order)))

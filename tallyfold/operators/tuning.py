@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators.metrics import CLASS_METRICS, REG_METRICS, classification_metrics, regression_metrics
 from tallyfold.operators.sampling import named_split, split_names
-from tallyfold.session import stage_table
+from tallyfold.session import spread, stage_table
 
 # Values the experiments search, restricted to what the Spark estimators can vary.
 GRIDS: dict[str, dict[str, list]] = {
@@ -69,7 +69,7 @@ def validate(plan: DataFrame, name: str, prepare: Callable, fit: Callable, score
             continue
         train, evaluate = prepare(*named_split(plan, split))
         # Fits pass over the rows many times; the written table spares them the joins of the encoders.
-        train = stage_table(train, "train")
+        train = stage_table(spread(train), "train")
         model, fit_time = timed(lambda t=train: fit(t))
         scored = stage_table(score(model, evaluate).select(label, "prediction"), "scored")
         if task == "classification":

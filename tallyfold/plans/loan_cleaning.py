@@ -9,6 +9,7 @@ from tallyfold.functions import scalars as X
 from tallyfold.operators.contract import Field, validate
 from tallyfold.operators.ordered import forward_fill
 from tallyfold.operators.rowsets import drop_if_greater, fill_by_keyword, fill_constants, keep_in
+from tallyfold.session import spread, stage_table
 from tallyfold.sources.io import read_csv
 
 ROW_ID = "__row"
@@ -96,12 +97,15 @@ def filtered(df: DataFrame) -> DataFrame:
 
 
 def imputed(df: DataFrame) -> DataFrame:
-    """Missing names, states and banks filled in order; status and low-doc by rule."""
-    df = fill_constants(df, {"Name": "Unknown Company", "City": "Unknown City"})
-    df = forward_fill(df, "Zip", "State", ROW_ID)
-    df = fill_constants(df, {"State": "AP", "Bank": "Unknown Bank"})
-    df = forward_fill(df, "Bank", "BankState", ROW_ID).filter(F.col("BankState").isNotNull())
-    return impute_low_doc(impute_status(df))
+    """Missing names, states and banks filled in order; status and low-doc by rule.
+
+    ``df`` is a written table: both fills read their own three columns of it.
+    """
+    banked = fill_constants(df, {"Bank": "Unknown Bank"})
+    out = forward_fill(fill_constants(banked, {"Name": "Unknown Company", "City": "Unknown City"}), "Zip", "State", ROW_ID, df)
+    out = fill_constants(out, {"State": "AP"})
+    out = forward_fill(out, "Bank", "BankState", ROW_ID, banked).filter(F.col("BankState").isNotNull())
+    return impute_low_doc(impute_status(out))
 
 
 def recoded(df: DataFrame) -> DataFrame:
@@ -138,8 +142,9 @@ def derived(df: DataFrame) -> DataFrame:
 
 
 def clean_loans(raw: DataFrame) -> DataFrame:
-    """The whole cleaning, in the order the results depend on."""
-    out = derived(recoded(imputed(filtered(typed(raw)))))
+    """The whole cleaning, in the order the results depend on. The text is parsed once, into a written table."""
+    kept = stage_table(filtered(typed(spread(raw))), "typed")
+    out = derived(recoded(imputed(kept)))
     return out.select(*[f.name for f in CONTRACT])
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from tallyfold.functions.scalars import rename
 from tallyfold.operators.baskets import association_rules, baskets, clean_lines, frequent_itemsets
 from tallyfold.operators.rowsets import dedup
+from tallyfold.session import stage_table
 
 RENAMES = {"InvoiceNo": "invoice_no", "StockCode": "stock_code", "Description": "description",
            "Quantity": "quantity", "InvoiceDate": "invoice_date", "UnitPrice": "unit_price",
@@ -19,5 +20,5 @@ def retail_baskets(lines: DataFrame) -> DataFrame:
 
 
 def mine_retail(lines: DataFrame, min_support: float = 0.01, min_confidence: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    items = retail_baskets(lines).persist()
+    items = stage_table(retail_baskets(lines), "baskets")
     return frequent_itemsets(items, min_support), association_rules(items, min_support, min_confidence)

@@ -46,3 +46,12 @@ def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     path = f"{shared_folder(spark)}/tallyfold/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one task per core for CPU-heavy work on an input kept in few files.
+
+    A table of many files already has its tasks and passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
