@@ -57,7 +57,7 @@ def rank_by(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name
 
 
 def rank_by_hash(df: DataFrame, h: str, tie: str, group: Sequence[str] = (), name: str = "rank",
-                 bits: int = 12) -> DataFrame:
+                 bits: int = 14) -> DataFrame:
     """Row number in the order of a uniform 32-bit hash column; its leading bits are the chunks."""
     chunked = df.withColumn(CHUNK, bucket_of(F.col(h), bits))
     return rank_in_chunks(chunked, [h, tie], group, name).drop(CHUNK)

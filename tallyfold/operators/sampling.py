@@ -8,6 +8,7 @@ row then compares itself with the cut, so the data itself is neither shuffled no
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,7 +18,7 @@ from tallyfold.functions.hashing import SEED, bucket_of, hash32
 from tallyfold.operators.rowsets import null_safe_on
 from tallyfold.session import stage_table
 
-BITS = 12
+BITS = 14
 
 
 def share(n: Column, part: int, whole: int) -> Column:
@@ -53,20 +54,22 @@ def hash_cuts(df: DataFrame, id_col: str, strata: Sequence[str], targets: dict[s
 
 
 def _pairs(keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"m_{k}"))
-    return cond
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"m_{k}")) for k in keys])
 
 
 def with_cuts(df: DataFrame, id_col: str, strata: Sequence[str], targets: dict[str, Column],
               seed: int | str = SEED) -> DataFrame:
     """``df`` plus a boolean column per target: the row is among the first ``size`` of its stratum."""
-    cuts = stage_table(hash_cuts(df, id_col, strata, targets, seed), "cuts")
-    cuts = cuts.withColumnsRenamed({s: f"m_{s}" for s in strata} | {t: f"__{t}" for t in targets})
-    cond = _pairs(strata) if strata else F.lit(True)
-    joined = df.join(cuts, cond, "left")
+    cuts = hash_cuts(df, id_col, strata, targets, seed)
     here = F.struct(hash32(F.col(id_col), seed).alias("h"), F.col(id_col).alias("id"))
+    if not strata:
+        row, kind = cuts.first(), df.schema[id_col].dataType
+        ends = {t: row and row[t] for t in targets}
+        return df.withColumns({t: F.lit(False) if at is None else here <= F.struct(
+            F.lit(at.h).cast("long").alias("h"), F.lit(at.id).cast(kind).alias("id")) for t, at in ends.items()})
+    cuts = stage_table(cuts, "cuts")
+    cuts = cuts.withColumnsRenamed({s: f"m_{s}" for s in strata} | {t: f"__{t}" for t in targets})
+    joined = df.join(cuts, _pairs(strata), "left")
     flags = {t: F.coalesce(here <= F.col(f"__{t}"), F.lit(False)) for t in targets}
     return joined.withColumns(flags).drop(*[f"m_{s}" for s in strata], *[f"__{t}" for t in targets])
 

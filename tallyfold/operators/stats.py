@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -210,17 +211,13 @@ def max_abs_correlation(df: DataFrame, cols: Sequence[str], above: float = 0.0)
 
 def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = (), density: bool = False) -> DataFrame:
     """Counts (or densities) in equal-width bins between min and max; the last bin is closed."""
-    ends = df.agg(F.struct(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi")).alias("e"))
-    lo, hi = ends.scalar()["lo"], ends.scalar()["hi"]
-    width = (hi - lo) / bins
+    ends = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"), F.count(col).alias("n")).first()
+    lo, width = F.lit(ends.lo).cast("double"), F.lit(((ends.hi or 0.0) - (ends.lo or 0.0)) / bins)
     raw = F.coalesce(F.floor(F.try_divide(F.col(col) - lo, width)), F.lit(0))
     counts = (df.filter(F.col(col).isNotNull()).withColumn("bin", F.least(raw, F.lit(bins - 1)).cast("int"))
               .groupBy(*by, "bin").agg(F.count("*").alias("n")))
     out = counts.withColumns({"bin_lo": lo + F.col("bin") * width, "bin_hi": lo + (F.col("bin") + 1) * width})
-    if density:
-        total = df.agg(F.count(col)).scalar()
-        out = out.withColumn("density", F.col("n") / (total * width))
-    return out
+    return out.withColumn("density", F.try_divide(F.col("n"), ends.n * width)) if density else out
 
 
 def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame:
@@ -229,16 +226,15 @@ def kde(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame
     Each distinct value is weighted by its count and meets the grid through an exploded sequence, so
     sums form on the map side and only ``grid`` rows are exchanged.
     """
-    stats = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(col).alias("n"),
-                            F.stddev_samp(col).alias("sd")).alias("s"))
-    lo, hi, n, sd = (stats.scalar()[f] for f in ("lo", "hi", "n", "sd"))
-    bw = sd * F.pow(n.cast("double"), F.lit(-0.2))
-    start, step = lo - cut * bw, (hi - lo + 2 * cut * bw) / (grid - 1)
+    one = df.agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"), F.count(col).alias("n"),
+                 F.stddev_samp(col).alias("sd")).first()
+    bw = one.sd * one.n ** -0.2
+    start, step = one.lo - cut * bw, (one.hi - one.lo + 2 * cut * bw) / (grid - 1)
     points = (df.filter(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v"))
               .agg(F.count("*").alias("w"))
               .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))))
-    z = (start + F.col("i") * step - F.col("v")) / bw
+    at = F.lit(start) + F.col("i") * F.lit(step)
+    z = (at - F.col("v")) / F.lit(bw)
     kernel = F.col("w") * F.exp(-0.5 * z * z)
     sums = points.groupBy("i").agg(F.sum(kernel).alias("k"))
-    return sums.select("i", (start + F.col("i") * step).alias("x"),
-                       (F.col("k") / (n * bw * F.lit((2 * 3.141592653589793) ** 0.5))).alias("density"))
+    return sums.select("i", at.alias("x"), (F.col("k") / F.lit(one.n * bw * math.sqrt(2 * math.pi))).alias("density"))

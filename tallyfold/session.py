@@ -54,4 +54,5 @@ def spread(df: DataFrame) -> DataFrame:
     A table of many files already has its tasks and passes through without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    files = len(df._jdf.inputFiles())  # counted in the JVM: the names of a large table's files stay there
+    return df.repartition(cores) if files < cores else df
