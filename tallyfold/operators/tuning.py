@@ -14,7 +14,7 @@ from tallyfold.operators.metrics import CLASS_METRICS, REG_METRICS, classificati
 from tallyfold.operators.sampling import named_split, split_names
 from tallyfold.session import spread, stage_table
 
-# Values the experiments search, restricted to what the Spark estimators can vary.
+# What the experiments search, restricted to what the Spark estimators can vary.
 GRIDS: dict[str, dict[str, list]] = {
     "knn": {"k": [3, 5, 7, 9], "weights": ["uniform", "distance"], "p": [1, 2]},
     "logistic": {"penalty": ["l1", "l2", "elasticnet", "none"], "C": [0.01, 0.1, 1.0, 10.0, 100.0],

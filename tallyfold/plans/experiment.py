@@ -59,6 +59,7 @@ def prepare_with(kind: str, number: int, categorical: Sequence[str], numerical:
 def classifiers(label: str, id_col: str) -> dict[str, Callable]:
     """Model name to fit function, as the experiments name them."""
     return {
+        "KNN": lambda df, **p: _Neighbours(df, id_col, label, p),
         "Logistic Regression": lambda df, **p: M.fit_logistic(df, label, **p),
         "Gaussian NB": lambda df, **p: _naive(df, label, **p),
         "Linear SVC": lambda df, **p: M.fit_calibrated_svc(df, id_col, label, **p),
@@ -116,8 +117,13 @@ def run_model(plan: DataFrame, name: str, fit: Callable, prepare: Callable, expe
     return validate(plan, name, prepare, fit, lambda m, df: m.transform(df), experiment, label, task, **options)
 
 
-def knn_scores(train: DataFrame, evaluate: DataFrame, id_col: str, label: str, **params) -> DataFrame:
-    """Evaluation rows with the neighbours' prediction, for frames with assembled features."""
-    t = train.withColumn("vec", vector_to_array("features"))
-    e = evaluate.withColumn("vec", vector_to_array("features"))
-    return e.join(knn_classify(t, e, id_col, "vec", label, **params), id_col)
+class _Neighbours:
+    """The training rows stand for the model; scoring is one neighbour join."""
+
+    def __init__(self, train: DataFrame, id_col: str, label: str, params: dict):
+        self.train, self.id_col, self.label, self.params = train, id_col, label, params
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        t = self.train.withColumn("vec", vector_to_array("features"))
+        e = df.withColumn("vec", vector_to_array("features"))
+        return df.join(knn_classify(t, e, self.id_col, "vec", self.label, **self.params), self.id_col)

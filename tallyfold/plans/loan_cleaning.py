@@ -13,6 +13,7 @@ from tallyfold.session import spread, stage_table
 from tallyfold.sources.io import read_csv
 
 ROW_ID = "__row"
+# Column names of the raw loans.
 DATE_COLS = ("ApprovalDate", "ChgOffDate", "DisbursementDate")
 MONEY_COLS = ("DisbursementGross", "BalanceGross", "ChgOffPrinGr", "GrAppv", "SBA_Appv")
 COUNT_COLS = ("Zip", "Term", "NoEmp", "CreateJob", "RetainedJob", "FranchiseCode", "UrbanRural")
@@ -149,6 +150,7 @@ def clean_loans(raw: DataFrame) -> DataFrame:
 
 
 FLAG = (0, 1)
+# Types and checks of the cleaned table.
 CONTRACT = (
     Field("LoanNr_ChkDgt", "bigint", unique=True),
     Field("Name", "string"), Field("City", "string"), Field("State", "string"),

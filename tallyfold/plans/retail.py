@@ -9,6 +9,7 @@ from tallyfold.operators.baskets import association_rules, baskets, clean_lines,
 from tallyfold.operators.rowsets import dedup
 from tallyfold.session import stage_table
 
+# Column names of the retail lines.
 RENAMES = {"InvoiceNo": "invoice_no", "StockCode": "stock_code", "Description": "description",
            "Quantity": "quantity", "InvoiceDate": "invoice_date", "UnitPrice": "unit_price",
            "CustomerID": "customer_id", "Country": "country"}

@@ -8,6 +8,7 @@ from tallyfold.functions.scalars import rename
 from tallyfold.operators.rowsets import between_half_open, dedup, join_roles
 from tallyfold.operators.shapes import polygon_centroid
 
+# Column names of the trip records.
 RENAMES = {"VendorID": "vendor_id", "RatecodeID": "rate_code_id", "PULocationID": "pick_up_location_id",
            "DOLocationID": "drop_off_location_id", "Airport_fee": "airport_fee"}
 ROLES = {"pick_up_location_id": {"geometry_x": "pick_up_x", "geometry_y": "pick_up_y"},

@@ -19,6 +19,7 @@ from tallyfold.operators.ordered import rank_by_hash
 from tallyfold.operators.rowsets import lookup_key, upsert_first_wins
 from tallyfold.session import stage_table
 
+# Column names of the cleaned loans and of the warehouse.
 RENAMES = {
     "LoanNr_ChkDgt": "loan_number", "Name": "name", "City": "city", "State": "state", "Zip": "zip_code",
     "Bank": "bank_name", "BankState": "bank_state", "NAICS": "naics_code", "ApprovalDate": "approval_date",

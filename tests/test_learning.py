@@ -96,7 +96,7 @@ def _accuracy(model, df):
 def test_classifiers(data):
     _, df = data
     for name, fit in X.classifiers("label", "id").items():
-        small = {"AdaBoost": {"n": 6}, "Random Forest": {"numTrees": 5}}.get(name, {"maxIter": 3} if "Boosted" in name else {})
+        small = {"AdaBoost": {"n": 6}, "Random Forest": {"numTrees": 5, "maxDepth": 5}}.get(name, {"maxIter": 2, "maxDepth": 3} if "Boosted" in name else {})
         assert _accuracy(fit(df, **small), df) > 0.75, name
 
 
@@ -113,8 +113,8 @@ def test_calibrated_probabilities(data):
 def test_regressors(data):
     _, df = data
     for name, fit in X.regressors("target").items():
-        small = {"AdaBoost": {"n": 8}, "Random Forest": {"numTrees": 5}, "Lasso": {"alpha": 0.1}, "Elastic Net": {"alpha": 0.1}}.get(
-            name, {"maxIter": 15} if "Boosted" in name else {})
+        small = {"AdaBoost": {"n": 4}, "Random Forest": {"numTrees": 5, "maxDepth": 5}, "Lasso": {"alpha": 0.1}, "Elastic Net": {"alpha": 0.1}}.get(
+            name, {"maxIter": 3} if "Boosted" in name else {})
         r2 = metrics.regression_metrics(fit(df, **small).transform(df), "target", "prediction").first().r_squared
         assert r2 > 0.5, name
 
