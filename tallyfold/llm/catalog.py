@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyfold.llm.bpe_prefix import encode_digests
 from tallyfold.llm.common import read
 from tallyfold.llm.exact_radix import exact_groups
 from tallyfold.llm.url_rules import PATTERN_RULES, SITE_RULES, judge_urls, site_pattern
@@ -57,3 +58,14 @@ SELECT page_id, host, path, rule, CASE {verdict} WHEN pattern IS NOT NULL THEN '
 @query("op8_rarest_token_url_rules", _url_sql())
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(read(spark, folder, "pages")).drop("n_tested")
+
+
+@query("op7_prefix_dp_bpe")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_digests(read(spark, folder, "documents"), tokenizer_path())
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

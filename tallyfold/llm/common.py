@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -124,3 +126,11 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
         rest = width - done
         out = np.minimum(out[:-rest], out[rest:])
     return out
+
+
+def per_worker(key: tuple, make):
+    """``make()`` once per Python worker process. Task functions are unpickled anew for each task; this keeps their tables."""
+    store = sys.modules.setdefault("tallyfold_per_worker", types.ModuleType("tallyfold_per_worker")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
