@@ -29,7 +29,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each later round up to ``widest``. A group of one leaves at once; a group whose bytes are used up is a group of equal
     texts. Equality rests on all bytes; the digest is only a column of the result. Rounds carry the rest of the open
     texts alone, so the bytes moved shrink as the digits grow. Counts are combined before the shuffle, and the way back
-    from groups to rows is a join that adaptive execution can split, so a group may hold any share of the rows.
+    from groups to rows is a join that adaptive execution can split, so a group may hold any share of the rows. It is a merge
+    join at every size: the table of groups follows the input and is not to be broadcast.
 
     The row with most code points, then the smallest id, stays. Null text counts as empty; a null id loses ties and may
     be a keep_id of its own. Rows that repeat both id and text are all marked kept. An empty table gives no rows.
@@ -47,7 +48,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         groups = stage_table(groups, "radix-groups")  # written, so the new numbers stay as they are
         used += width
         open_ = F.col("next").isNotNull() & (F.col("size") > used)
-        split = stage_table(keyed.join(groups, ["grp", "size", "digit"], "left").select(
+        split = stage_table(keyed.join(groups.hint("merge"), ["grp", "size", "digit"], "left").select(
             "doc_id", "n_points", "text_sha256", "size", F.col("next").alias("grp"), open_.alias("open"),
             F.when(open_, F.expr(f"substring(rest, {width + 1})")).alias("rest")), "radix-rows")
         done.append(split.filter("NOT open"))
