@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyfold.llm.bpe_prefix import encode_digests
-from tallyfold.llm.common import read
+from tallyfold.llm.common import held_out, read
 from tallyfold.llm.exact_radix import exact_groups
+from tallyfold.llm.toxic_gru import label_rows, score, train
 from tallyfold.llm.url_rules import PATTERN_RULES, SITE_RULES, judge_urls, site_pattern
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +71,16 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def toxicity(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
+    """doc_id and score of ``docs``, from a network trained on the labels that may be learnt from."""
+    train_rows = label_rows(read(spark, folder, "documents"), read(spark, folder, "labels"), "toxic", ~held_out(F.col("doc_id"), 3, 1))
+    return score(docs, train(train_rows))
+
+
+@query("op5_bigru_toxicity")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity(spark, folder, read(spark, folder, "documents"))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
