@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyfold.llm.bpe_prefix import encode_digests
 from tallyfold.llm.common import held_out, read
 from tallyfold.llm.exact_radix import exact_groups
+from tallyfold.llm.shingle_join import jaccard_components
 from tallyfold.llm.toxic_gru import label_rows, score, train
 from tallyfold.llm.url_rules import PATTERN_RULES, SITE_RULES, judge_urls, site_pattern
 
@@ -84,3 +85,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity(spark, folder, read(spark, folder, "documents"))
     return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op10_grouped_prefix_jaccard")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(read(spark, folder, "documents"))
