@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.bpe_prefix import encode_digests
 from tallyfold.llm.common import held_out, read
+from tallyfold.llm.debruijn import remove_repeats
 from tallyfold.llm.exact_radix import exact_groups
 from tallyfold.llm.shingle_join import jaccard_components
 from tallyfold.llm.toxic_gru import label_rows, score, train
@@ -90,3 +91,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_grouped_prefix_jaccard")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(read(spark, folder, "documents"))
+
+
+@query("op2_debruijn_substring_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(read(spark, folder, "documents"))
