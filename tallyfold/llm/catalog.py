@@ -12,7 +12,8 @@ from tallyfold.llm.common import held_out, read
 from tallyfold.llm.debruijn import remove_repeats
 from tallyfold.llm.exact_radix import exact_groups
 from tallyfold.llm.shingle_join import jaccard_components
-from tallyfold.llm.toxic_gru import label_rows, score, train
+from tallyfold.llm.suffix_dedup import remove_repeated_bytes
+from tallyfold.llm.toxic_gru import score, train
 from tallyfold.llm.url_rules import PATTERN_RULES, SITE_RULES, judge_urls, site_pattern
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,8 +78,8 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 def toxicity(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
     """doc_id and score of ``docs``, from a network trained on the labels that may be learnt from."""
-    train_rows = label_rows(read(spark, folder, "documents"), read(spark, folder, "labels"), "toxic", ~held_out(F.col("doc_id"), 3, 1))
-    return score(docs, train(train_rows))
+    labels = read(spark, folder, "labels").filter(~held_out(F.col("doc_id"), 3, 1)).select("doc_id", F.col("toxic").alias("label"))
+    return score(docs, train(read(spark, folder, "documents"), labels))
 
 
 @query("op5_bigru_toxicity")
@@ -96,3 +97,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_debruijn_substring_dedup")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(read(spark, folder, "documents"))
+
+
+@query("op9_suffix_array_dedup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeated_bytes(read(spark, folder, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.common import LOWER, Powers, byte_table, prefix_hash, slice_hash, text_chunks
@@ -221,7 +221,8 @@ def _window_rows(per_doc: int, seed: int):
                          head[start[w]: start[w] + size[w]], tail[start[w]: start[w] + size[w]]) for w in own]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                     *(pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in (2, 3, 4))],
+                     pa.array([r[2] for r in rows], pa.list_(pa.int64())),
+                     *(pa.array([r[k].astype(np.int16) for r in rows], pa.list_(pa.int16())) for k in (3, 4))],
                     names=["doc_id", "label", "hash", "head", "tail"])
     return task
 
@@ -241,24 +242,27 @@ def _telling_words(rows: pd.DataFrame, most: int, least_z: float = 4.0) -> np.nd
     return seen[top[z[top] >= least_z]].view(np.uint64)
 
 
-def train(labelled: DataFrame, max_docs: int = 6000, per_doc: int = 3, max_words: int = 200, rounds: int = 100,
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, per_doc: int = 3, max_words: int = 200, rounds: int = 100,
           seed: int = 7) -> Network:
-    """Fit the network on at most ``max_docs`` labelled documents of each class (columns doc_id, text, label).
+    """Fit the network on at most ``max_docs`` labelled documents of each class.
 
-    The documents are those with the smallest hash of their id, from both classes as far as they go. Of each, ``per_doc``
+    docs: doc_id, text. labels: doc_id, label (only rows that may be learnt from; of several for an id the largest
+    counts). The documents are those with the smallest hash of their id, from both classes as far as they go. Of each, ``per_doc``
     windows are drawn over its whole length. A toxic document has harmless windows too, and some labels are wrong, so a
     second training keeps only its window that the first network finds worst, if that one looks toxic at all. Only words that
     tell the classes apart have a vector of their own; all words have those of their characters. Memory of the driver: the windows, at most
     2 * max_docs * per_doc * 64 words.
     """
     rank = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    base = labelled.filter("label IS NOT NULL")
+    own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")).dropna() \
+        .groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = None
     for value in (0, 1):
-        part = base.filter(F.col("label") == value).orderBy(rank, "doc_id").limit(max_docs)
+        part = own.filter(F.col("label") == value).orderBy(rank, "doc_id").limit(max_docs)
         chosen = part if chosen is None else chosen.unionAll(part)
-    chosen = chosen.select(F.col("doc_id").cast("long"), "text", F.col("label").cast("int"))
-    rows: pd.DataFrame = chosen.mapInArrow(_window_rows(per_doc, seed), "doc_id long, label int, hash array<long>, head array<long>, tail array<long>").toPandas()
+    # At most 2 * max_docs pairs of numbers, so they go to the documents and no text is shuffled.
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    rows: pd.DataFrame = chosen.mapInArrow(_window_rows(per_doc, seed), "doc_id long, label int, hash array<long>, head array<short>, tail array<short>").toPandas()
     rows = rows.sort_values(["doc_id", "label"], kind="stable").reset_index(drop=True)
     if not len(rows):
         return Network(np.zeros(0, np.uint64), seed)
@@ -267,7 +271,7 @@ def train(labelled: DataFrame, max_docs: int = 6000, per_doc: int = 3, max_words
     def inputs(network: Network, frame: pd.DataFrame):
         size = frame["hash"].map(len).to_numpy()
         shape = (WIDTH, len(frame))
-        word, head, tail, alive = (np.zeros(shape, np.int64) for _ in range(4))
+        word, head, tail, alive = (np.zeros(shape, np.int16) for _ in range(4))
         for i, (h, a, b) in enumerate(zip(frame["hash"], frame["head"], frame["tail"])):
             word[: size[i], i], head[: size[i], i], tail[: size[i], i] = network.word_ids(np.asarray(h).view(np.uint64)), a, b
             alive[: size[i], i] = 1
@@ -310,9 +314,3 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
 
     return source.mapInArrow(task, schema)
 
-
-def label_rows(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column) -> DataFrame:
-    """(doc_id, text, label) of the labelled documents that may be learnt from; one label for each id, the larger one."""
-    own = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & learn) \
-        .groupBy("doc_id").agg(F.max(label_col).cast("int").alias("label"))
-    return docs.select("doc_id", "text").join(own, "doc_id")
