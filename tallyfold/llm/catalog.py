@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.bpe_prefix import encode_digests
 from tallyfold.llm.common import held_out, read
+from tallyfold.llm.decontaminate import contaminated
 from tallyfold.llm.debruijn import remove_repeats
 from tallyfold.llm.exact_radix import exact_groups
 from tallyfold.llm.shingle_join import jaccard_components
@@ -102,3 +103,17 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_suffix_array_dedup")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeated_bytes(read(spark, folder, "documents"))
+
+
+@query("op1_minhash_decontamination", r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+s AS (SELECT item_id, least(5, len(w)) AS k, unnest(list_distinct(list_transform(range(1, len(w) - least(5, len(w)) + 2),
+             lambda j: array_to_string(w[j : j + least(5, len(w)) - 1], ' ')))) AS g FROM i WHERE len(w) > 0),
+n AS (SELECT item_id, count(*) AS n FROM s GROUP BY item_id),
+h AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda j: array_to_string(w[j : j + 4], ' ')))) AS g FROM d WHERE len(w) >= 5)
+SELECT doc_id, item_id, any_value(n.n)::INT AS n_item_shingles, count(*)::INT AS n_shared
+FROM h JOIN s USING (g) JOIN n USING (item_id) WHERE k = 5 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n.n)
+""")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
