@@ -39,7 +39,7 @@ g AS (SELECT text_sha256, count(*) AS group_size, arg_min(doc_id, (-n_points, do
 SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, t.text_sha256 FROM t JOIN g USING (text_sha256)
 """)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    return exact_groups(read(spark, folder, "documents"))
+    return exact_groups(read(spark, folder, "documents")).drop("n_points")
 
 
 def _url_sql() -> str:
@@ -77,15 +77,15 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def toxicity(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
-    """doc_id and score of ``docs``, from a network trained on the labels that may be learnt from."""
+def toxicity(spark: SparkSession, folder: str):
+    """The network trained on the labels that may be learnt from."""
     labels = read(spark, folder, "labels").filter(~held_out(F.col("doc_id"), 3, 1)).select("doc_id", F.col("toxic").alias("label"))
-    return score(docs, train(read(spark, folder, "documents"), labels))
+    return train(read(spark, folder, "documents"), labels)
 
 
 @query("op5_bigru_toxicity")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    scored = toxicity(spark, folder, read(spark, folder, "documents"))
+    scored = score(read(spark, folder, "documents"), toxicity(spark, folder))
     return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"))
 

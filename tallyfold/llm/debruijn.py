@@ -92,7 +92,8 @@ def repeated_spans(docs: DataFrame, window: int = 35, k: int = 8, id_col: str =
     paths = source.mapInArrow(_path_rows(window, k), PATHS)
     seen = paths.groupBy("anchor").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high")) \
         .filter("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("branches"))
-    paths = stage_table(paths.join(seen.hint("merge"), "anchor"), "paths")
+    # Written first: a join on a plain table, not on an aggregate, is one whose hot minimizers can be split.
+    paths = stage_table(paths.join(stage_table(seen, "seen").hint("merge"), "anchor"), "paths")
     plain = paths.filter("NOT branches").select("doc_id", "mark", "start", (F.col("start") + F.col("edges") + (window - 1)).alias("stop"))
     forked = paths.filter("branches")
     kinds = forked.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "mark", "start", "edges")).alias("r"))

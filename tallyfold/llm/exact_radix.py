@@ -22,7 +22,7 @@ def squeeze(text: Column) -> Column:
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", first: int = 64,
                  growth: int = 16, widest: int = 1 << 20) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, n_points (code points of the original text).
 
     Texts are compared as byte strings after :func:`squeeze`. A string is read as its length followed by its bytes.
     Each round splits every open group by its next digit, ``first`` bytes at the start and ``growth`` times as many in
@@ -65,8 +65,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     copies = ended.join(best, ["round", "grp"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n_points") == -F.col("best.less"))).alias("kept"),
-        "text_sha256")
+        "text_sha256", "n_points")
     single = [part.filter("grp IS NULL").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"),
-        "text_sha256") for part in done]
+        "text_sha256", "n_points") for part in done]
     return reduce(DataFrame.unionAll, [*single, copies])

@@ -112,6 +112,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, rounds: i
     able = classes.filter(f"{percent} * (n + 1) <= 100 * n")
     inside = able.select("cid", F.explode(F.slice("head", F.lit(1), F.col("zone").cast("int"))).alias("token"))
     common = inside.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    common = stage_table(common, "common")  # a join on a plain table, not on an aggregate, can be split where it is hot
     shared = inside.join(common.hint("merge"), "token").groupBy("cid").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
     need = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
@@ -127,7 +128,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, rounds: i
     entries = prefix.select("cid", "n", "alone", F.posexplode("prefix").alias("pos", "token")) \
         .withColumn("pos", F.col("pos") + F.col("alone")).drop("alone")
     full = entries.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
-    entries = stage_table(entries.join(full.drop("held").hint("merge"), "token"), "buckets")
+    entries = stage_table(entries.join(stage_table(full.drop("held"), "full").hint("merge"), "token"), "buckets")
     # Whole sets of the classes that share a bucket with another one; the signature guards against a repeated id.
     some_id = F.coalesce("doc_id", F.lit(SIGN)).alias("doc_id")
     wanted = entries.select("cid").distinct().join(prefix.select("cid", some_id, "s1", "s2"), "cid")

@@ -192,20 +192,21 @@ def repeated_byte_spans(docs: DataFrame, window: int = 100, k: int = 24, shard_b
     source = keyed(docs, id_col, text_col)
     runs = source.mapInArrow(_run_rows(window, k), RUNS)
     seen = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    runs = stage_table(runs.join(seen.hint("merge"), "anchor"), "runs")
+    # Written first: a join on a plain table, not on an aggregate, is one whose hot minimizers can be split.
+    runs = stage_table(runs.join(stage_table(seen, "seen").hint("merge"), "anchor"), "runs")
     kinds = stage_table(runs.groupBy("anchor", "content").agg(
         F.count("*").alias("times"), F.min(F.struct("doc_id", "start", "mark", "windows")).alias("r")), "kinds")
     copied = kinds.filter("times > 1").select("anchor", "content", F.struct("r.doc_id", "r.start").alias("first"))
     copies = runs.join(copied.hint("merge"), ["anchor", "content"]).filter(F.struct("doc_id", "start") > F.col("first")) \
         .select("doc_id", "mark", "start", (F.col("start") + F.col("windows") + (window - 1)).alias("stop"))
     many = kinds.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    wanted = kinds.join(many.hint("merge"), "anchor").select("r.doc_id", "r.mark", F.struct("r.start", "r.windows", "anchor").alias("w")) \
+    wanted = kinds.join(stage_table(many, "many").hint("merge"), "anchor").select("r.doc_id", "r.mark", F.struct("r.start", "r.windows", "anchor").alias("w")) \
         .groupBy("doc_id", "mark").agg(F.collect_list("w").alias("wanted"))
     pieces = source.join(wanted.hint("merge"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "wanted") \
         .mapInArrow(_piece_rows(window, k), PIECES)
     pieces = stage_table(pieces, "pieces")
     crowds = pieces.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    pieces = stage_table(pieces.join(crowds.hint("merge"), "key"), "crowds")
+    pieces = stage_table(pieces.join(stage_table(crowds, "keys").hint("merge"), "key"), "crowds")
     sharded = pieces.filter(F.col("n") <= crowd).select("key", "doc_id", "mark", "start", "bytes") \
         .repartition("key").sortWithinPartitions("key").mapInArrow(_shard_rows(window, shard_bytes), SPANS)
     single = stage_table(pieces.filter(F.col("n") > crowd).select("key", "doc_id", "mark", "start", "bytes").mapInArrow(

@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.llm.common import LOWER, Powers, byte_table, prefix_hash, slice_hash, text_chunks
 
@@ -287,30 +288,30 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000, per_doc: int
     return network
 
 
-def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", *keep: str) -> DataFrame:
-    """doc_id, score and the columns ``keep``: the highest window probability of each whole text, without a shuffle.
+def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text", name: str = "score",
+          whole_rows: bool = False) -> DataFrame:
+    """doc_id and score: the highest window probability of each whole text, in one pass without a shuffle.
 
-    Null and empty texts get the probability of a window without words. A very long text is many windows, of which a
-    bounded block is worked on at a time.
+    With ``whole_rows`` all columns of the input stay, and the probability is added as column ``name``. Null and empty
+    texts get the probability of a window without words; repeated rows are each scored. A very long text is many windows,
+    of which a bounded block is worked on at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(network)
-    cols = [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep]
-    source = docs.select(*cols)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "text"), "score double"])
+    source = docs if whole_rows else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    at = source.columns.index(text_col if whole_rows else "text")
+    keep = [i for i in range(len(source.columns)) if whole_rows or i != at]
+    schema = T.StructType([*(source.schema[i] for i in keep), T.StructField(name, T.DoubleType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, powers = shared.value, Powers()
         tables = net.tables()
         for batch in batches:
             scores = np.zeros(batch.num_rows)
-            for a, b, data, off in text_chunks(batch.column(1)):
+            for a, b, data, off in text_chunks(batch.column(at)):
                 hashes, head, tail, first = words(data, off, powers)
                 doc, start, size = windows(first)
                 logits = net.score_windows(net.word_ids(hashes), head, tail, start, size, tables)
                 scores[a:b] = 1 / (1 + np.exp(-np.maximum.reduceat(logits, np.searchsorted(doc, np.arange(b - a))).astype(float)))
-            names = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(scores)],
-                                             names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), pa.array(scores)], names=schema.names)
 
     return source.mapInArrow(task, schema)
-
