@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm.bpe_prefix import encode_digests
+from tallyfold.llm import quality_pu
 from tallyfold.llm.common import held_out, read
 from tallyfold.llm.decontaminate import contaminated
 from tallyfold.llm.debruijn import remove_repeats
@@ -117,3 +118,11 @@ FROM h JOIN s USING (g) JOIN n USING (item_id) WHERE k = 5 GROUP BY doc_id, item
 """)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query("op3_pu_quality")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs, held = read(spark, folder, "documents"), held_out(F.col("doc_id"), 4, 2)
+    trusted = read(spark, folder, "labels").filter((F.col("quality") == 1) & ~held)
+    model, _ = quality_pu.train(docs, trusted, docs.filter(~held))
+    return quality_pu.score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
