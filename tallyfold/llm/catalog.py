@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm.bpe_prefix import encode_digests
-from tallyfold.llm import quality_pu
+from tallyfold.llm import pii_crf, quality_pu
 from tallyfold.llm.common import held_out, read
 from tallyfold.llm.decontaminate import contaminated
 from tallyfold.llm.debruijn import remove_repeats
@@ -126,3 +126,9 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     trusted = read(spark, folder, "labels").filter((F.col("quality") == 1) & ~held)
     model, _ = quality_pu.train(docs, trusted, docs.filter(~held))
     return quality_pu.score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op4_crf_personal_data")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return pii_crf.detect(docs, pii_crf.train(docs))
