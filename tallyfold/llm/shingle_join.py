@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from tallyfold.session import stage_table
 
 LETTERS = byte_table(10)
 ZONE = 0.2  # share of the hash space whose shingles are counted over all documents
+CROWD = 32  # classes in a bucket beyond which they are filed again by the counts of all their shingles
 SIGN = -(1 << 63)
 
 
@@ -70,6 +72,21 @@ def _sets(k: int, percent: int, whole: bool):
     return task
 
 
+def _class_sets(k: int):
+    """Task: the whole set of each class from the text of one of its documents; rows that only share the id are left out."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = _sets(k, 0, True)
+        for batch in batches:
+            texts = pa.RecordBatch.from_arrays([batch.column(0), batch.column(3)], names=["cid", "text"])
+            at = 0
+            for out in make(iter([texts])):
+                want = batch.slice(at, out.num_rows)
+                at += out.num_rows
+                same = pc.and_(pc.equal(out.column(2), want.column(1)), pc.equal(out.column(3), want.column(2)))
+                yield pa.RecordBatch.from_arrays([out.column(0), out.column(5)], names=["cid", "head"]).filter(same)
+    return task
+
+
 SCHEMA = "doc_id long, n long, s1 long, s2 long, zone long, head array<long>"
 
 
@@ -86,6 +103,31 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _filed(classes: DataFrame, percent: int) -> DataFrame:
+    """(cid, n, alone, token, pos, held): each class under the shingles of its prefix that another class is filed under too.
+
+    classes: cid, n, zone, head. The order of shingles is that of the first ``zone`` ones by the number of classes that
+    hold them, then the rest of ``head`` as it is. ``alone`` counts those that one class holds; they come first and find
+    nobody. ``held`` is the number of classes under the shingle.
+    """
+    inside = classes.select("cid", F.explode(F.slice("head", F.lit(1), F.col("zone").cast("int"))).alias("token"))
+    common = inside.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    common = stage_table(common, "common")  # a join on a plain table, not on an aggregate, can be split where it is hot
+    shared = inside.join(common.hint("merge"), "token").groupBy("cid").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("known"))
+    need = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    late = F.transform(F.slice("head", F.col("zone").cast("int") + 1, F.greatest(F.size("head") - F.col("zone"), F.lit(0)).cast("int")),
+                       lambda t: F.struct(F.lit(1 << 62).alias("df"), t.alias("token")))
+    known = F.coalesce("known", F.array().cast("array<struct<df:bigint,token:bigint>>"))
+    rows = classes.select("cid", "n", "zone", late.alias("late")).join(shared.hint("merge"), "cid", "left") \
+        .select("cid", "n", need.alias("need"), (F.col("zone") - F.size(known)).alias("alone"), F.concat(known, "late").alias("order"))
+    prefix = F.slice("order", F.lit(1), F.greatest(F.col("need") - F.col("alone"), F.lit(0)).cast("int"))
+    entries = stage_table(rows.select("cid", "n", "alone", F.posexplode(F.transform(prefix, lambda x: x["token"])).alias("pos", "token"))
+                          .withColumn("pos", F.col("pos") + F.col("alone")), "prefixes")
+    held = stage_table(entries.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1"), "held")
+    return entries.join(held.hint("merge"), "token")
+
+
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, rounds: int = 2, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id linked to, directly or through others) for every row.
@@ -94,8 +136,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, rounds: i
     2. Shingles are put in one global order: those in a fixed zone of the hash space first, by the number of classes that
        hold them, then the rest by hash. Two similar sets share a shingle among the first ``prefix_length`` of each. A
        shingle of one class alone fills its place but finds nobody, so most documents are done here.
-    3. Classes of one bucket (shared prefix shingle) are first compared with a leader each, in a few rounds with other
-       leaders. That is linear in the bucket and joins groups of near copies of any size.
+    3. Classes in a bucket (shared prefix shingle) of more than ``CROWD`` are taken as a collection of their own and filed
+       again, now by the counts of all their shingles within it: a passage that many documents share no longer brings
+       together documents that are otherwise different. A pair that only meets in such buckets has both members there.
+       What is crowded now is mostly groups of near copies: its classes are first compared with a leader each, one with
+       few shingles of its own. That is linear in the bucket, whatever its size.
     4. Classes of the same component, size and shared prefix are one group. Pairs of groups that share a bucket but not
        a component pass the size and position filters, and only then are expanded to members and verified on whole sets.
     Pairs inside a component are never made: they cannot change the result. No pair across components is left out.
@@ -109,63 +154,50 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, rounds: i
                .agg(F.min("doc_id").alias("doc_id"), F.first("zone").alias("zone"), F.first("head").alias("head")))
     classes = stage_table(grouped.select(F.monotonically_increasing_id().alias("cid"), "*"), "classes")
     # A set below this size is linked only with equal ones.
-    able = classes.filter(f"{percent} * (n + 1) <= 100 * n")
-    inside = able.select("cid", F.explode(F.slice("head", F.lit(1), F.col("zone").cast("int"))).alias("token"))
-    common = inside.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    common = stage_table(common, "common")  # a join on a plain table, not on an aggregate, can be split where it is hot
-    shared = inside.join(common.hint("merge"), "token").groupBy("cid").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
-    need = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    late = F.transform(F.slice("head", F.col("zone").cast("int") + 1, F.greatest(F.size("head") - F.col("zone"), F.lit(0)).cast("int")),
-                       lambda t: F.struct(F.lit(1 << 62).alias("df"), t.alias("token")))
-    known = F.coalesce("shared", F.array().cast("array<struct<df:bigint,token:bigint>>"))
-    alone = F.col("zone") - F.size("known")
-    ordered = F.slice(F.concat("known", "late"), F.lit(1), F.greatest(need - alone, F.lit(0)).cast("int"))
-    prefix = (able.join(shared.hint("merge"), "cid", "left").select("cid", "n", "zone", "doc_id", "s1", "s2", known.alias("known"), late.alias("late"))
-              .select("cid", "n", "doc_id", "s1", "s2", alone.alias("alone"), F.transform(ordered, lambda x: x["token"]).alias("prefix"))
-              .filter(F.size("prefix") > 0))
-    prefix = stage_table(prefix, "prefixes")
-    entries = prefix.select("cid", "n", "alone", F.posexplode("prefix").alias("pos", "token")) \
-        .withColumn("pos", F.col("pos") + F.col("alone")).drop("alone")
-    full = entries.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
-    entries = stage_table(entries.join(stage_table(full.drop("held"), "full").hint("merge"), "token"), "buckets")
-    # Whole sets of the classes that share a bucket with another one; the signature guards against a repeated id.
+    filed = stage_table(_filed(classes.filter(f"{percent} * (n + 1) <= 100 * n").select("cid", "n", "zone", "head"), percent), "filed")
+    # Whole sets of the classes that share a bucket with another one.
     some_id = F.coalesce("doc_id", F.lit(SIGN)).alias("doc_id")
-    wanted = entries.select("cid").distinct().join(prefix.select("cid", some_id, "s1", "s2"), "cid")
-    texts = source.select(some_id, "text").join(wanted.select("doc_id").distinct().hint("merge"), "doc_id")
-    sets = texts.mapInArrow(_sets(k, percent, True), SCHEMA)
-    sets = sets.join(wanted.hint("merge"), ["doc_id", "s1", "s2"]).groupBy("cid").agg(F.first("head").alias("head"))
-    sets = stage_table(sets, "sets")
-
-    nodes = entries.select(F.col("cid").alias("node")).distinct()
+    wanted = filed.select("cid").distinct().join(classes.select("cid", some_id, "s1", "s2"), "cid")
+    texts = source.select(some_id, "text").join(wanted.hint("merge"), "doc_id").select("cid", "s1", "s2", "text")
+    sets = stage_table(texts.mapInArrow(_class_sets(k), "cid long, head array<long>"), "sets")
+
+    crowd = filed.filter(F.col("held") > CROWD).select("cid").distinct()
+    again = sets.join(stage_table(crowd, "crowd").hint("merge"), "cid")
+    again = again.dropDuplicates(["cid"]).select("cid", F.size("head").cast("long").alias("n"), F.size("head").cast("long").alias("zone"), "head")
+    again = stage_table(again, "crowded-sets")
+    crowded = stage_table(_filed(again, percent), "crowded")
+    entries = filed.filter(F.col("held") <= CROWD).unionByName(crowded.withColumn("token", F.xxhash64("token", F.lit(2)))).drop("held")
+
+    nodes = filed.select(F.col("cid").alias("node")).distinct()
     links, label = None, nodes.select("node", F.col("node").alias("component"))
     for turn in range(rounds):
-        member = entries.join(label.select(F.col("node").alias("cid"), "component"), "cid")
-        lead = member.groupBy("token").agg(F.min(F.struct(F.xxhash64("component", F.lit(turn)), "cid", "component", "n")).alias("l"))
+        member = crowded.join(label.select(F.col("node").alias("cid"), "component"), "cid")
+        rank = ["alone", "cid"] if turn == 0 else [F.xxhash64("component", F.lit(turn)).alias("h"), "alone", "cid"]
+        lead = stage_table(member.groupBy("token").agg(F.min(F.struct(*rank, "component", "n")).alias("l")), "leaders")
         found = (member.join(lead, "token").filter("component <> l.component").filter(_sizes_fit("n", "l.n", percent))
                  .select(F.col("cid").alias("a"), F.col("l.cid").alias("b")).distinct())
-        got = stage_table(_verified(found, sets, percent), "links")
+        got = stage_table(_verified(found, again, percent), "links")
         links = got if links is None else links.unionAll(got)
         label = stage_table(connected_components(nodes, links), "labels")
 
     groups = (entries.groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("entry"))
               .join(label.select(F.col("node").alias("cid"), "component"), "cid"))
     groups = stage_table(groups.select("cid", "n", "component", "entry", F.xxhash64("component", "n", "entry").alias("gid")), "groups")
-    filed = groups.groupBy("gid", "n", "component").agg(F.first("entry").alias("entry")) \
+    buckets = groups.groupBy("gid", "n", "component").agg(F.first("entry").alias("entry")) \
         .select("gid", "n", "component", F.inline("entry"))
-    filed = stage_table(filed, "filed")
-    there = filed.select("token", "component").distinct()
+    buckets = stage_table(buckets, "buckets")
+    there = buckets.select("token", "component").distinct()
     across = there.select("token", F.col("component").alias("c1")).join(there.select("token", F.col("component").alias("c2")), "token").filter("c1 < c2")
-    one, two = (filed.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("n", "pos", "gid")), F.col("component").alias(f"c{i}")) for i in (1, 2))
-    # With this shingle shared, at most the rest of either prefix and set can be shared as well.
+    one, two = (buckets.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("n", "pos", "gid")), F.col("component").alias(f"c{i}")) for i in (1, 2))
+    # With this shingle shared, at most the rest of either set can be shared as well.
     most = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))
     pairs = (across.join(one, ["token", "c1"]).join(two, ["token", "c2"]).filter(_sizes_fit("n1", "n2", percent))
              .filter((100 + percent) * most >= percent * (F.col("n1") + F.col("n2")))
-             .groupBy("gid1", "gid2").agg(F.count("*").alias("hits")).select("gid1", "gid2"))
+             .select("gid1", "gid2").distinct())
     expanded = (pairs.join(groups.select(F.col("gid").alias("gid1"), F.col("cid").alias("a")), "gid1")
                 .join(groups.select(F.col("gid").alias("gid2"), F.col("cid").alias("b")), "gid2").select("a", "b").distinct())
-    links = links.unionAll(stage_table(_verified(expanded, sets, percent), "links"))
-    label = connected_components(nodes, links)
+    got = stage_table(_verified(expanded, sets, percent), "links")
+    label = connected_components(nodes, got if links is None else links.unionAll(got))
     named = stage_table(classes.select("cid", "s1", "s2", "n", "doc_id").join(label.select(F.col("node").alias("cid"), "component"), "cid", "left")
                         .withColumn("component", F.coalesce("component", "cid")), "named")
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -2,6 +2,9 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
+
+from tallyfold.llm import shingle_join
 from tallyfold.llm.shingle_join import jaccard_components, prefix_length
 
 SCHEMA = "doc_id long, text string, n long, token string"
@@ -59,7 +62,9 @@ def corpus(seed=3):
     return list(enumerate(texts))
 
 
-def test_equals_brute_force(spark):
+@pytest.mark.parametrize("crowd", [32, 3])
+def test_equals_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(shingle_join, "CROWD", crowd)
     rows = corpus()
     docs = spark.createDataFrame([(i, t, 1, "clash") for i, t in rows], SCHEMA).repartition(5)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()), key=str)
