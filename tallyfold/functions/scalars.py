@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -13,8 +14,7 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 
 def numeric_cols(df: DataFrame) -> list[str]:
-    kinds = ("byte", "short", "int", "bigint", "smallint", "tinyint", "long", "float", "double", "decimal")
-    return [name for name, kind in df.dtypes if kind.startswith(kinds)]
+    return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
 def string_cols(df: DataFrame) -> list[str]:
@@ -115,9 +115,9 @@ def title_case(col: Column, fixes: Mapping[str, str] | None = None) -> Column:
 
 
 def fmt_mean_std(mean: Column, std: Column, digits: int = 4) -> Column:
-    """``mean ± std`` as text with a fixed number of decimals."""
+    """``mean ± std`` as text with a fixed number of decimals; null where either is null."""
     pattern = f"%.{digits}f"
-    return F.concat(F.format_string(pattern, mean), F.lit(" ± "), F.format_string(pattern, std))
+    return F.when(mean.isNotNull() & std.isNotNull(), F.concat(F.format_string(pattern, mean), F.lit(" ± "), F.format_string(pattern, std)))
 
 
 def cap_std(mean: Column, std: Column, strict: bool = False) -> Column:

@@ -92,9 +92,18 @@ def dedup(df: DataFrame, keys: Sequence[str] | None = None, order: Sequence[str
 
 
 def duplicate_rows(df: DataFrame, cols: Sequence[str], row_id: str) -> DataFrame:
-    """Rows that repeat an earlier row over ``cols``. Only the first ids travel, never a whole group."""
-    first = df.groupBy(*cols).agg(F.min(row_id).alias(row_id)).select(row_id)
-    return df.join(first, row_id, "left_anti")
+    """Rows that repeat an earlier row over ``cols``, as many as there are beyond the first.
+
+    Rows are ordered by ``row_id``, and by all columns where that repeats. Of rows equal in every column, all but one are
+    given. Only the first row of each group travels, never a whole group.
+    """
+    rows = df.withColumn("__all", F.struct(F.col(row_id), *df.columns))
+    first = rows.groupBy(*cols).agg(F.min("__all").alias("__first")).withColumnsRenamed({c: f"__k_{c}" for c in cols})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in cols])
+    rows = rows.join(first, same).select(*df.columns, (F.col("__all") == F.col("__first")).alias("__is_first"))
+    later = rows.filter("NOT __is_first").select(*df.columns)
+    copies = rows.filter("__is_first").groupBy(*df.columns).agg(F.count("*").alias("__n")).filter("__n > 1")
+    return later.unionAll(copies.withColumn("__i", F.explode(F.expr("sequence(2, __n)"))).select(*df.columns))
 
 
 def upsert_first_wins(existing: DataFrame | None, new: DataFrame, keys: Sequence[str], attrs: Sequence[str],

@@ -30,7 +30,8 @@ def hash_cuts(df: DataFrame, id_col: str, strata: Sequence[str], targets: dict[s
               seed: int | str = SEED) -> DataFrame:
     """(strata..., one struct(h, id) column per target): the last row, in hash order, of each target size.
 
-    A target is an expression over ``total``, the number of rows in the stratum. Size 0 gives null.
+    A target is an expression over ``total``, the number of rows in the stratum. Size 0 gives null, a size above the
+    total the last row of all.
     """
     strata = list(strata)
     rows = df.select(*strata, hash32(F.col(id_col), seed).alias("h"), F.col(id_col).alias("id"))
@@ -39,7 +40,7 @@ def hash_cuts(df: DataFrame, id_col: str, strata: Sequence[str], targets: dict[s
     hist = rows.groupBy(*strata, "b").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(over.orderBy("b").rowsBetween(W.unboundedPreceding, 0))
     hist = hist.withColumns({"upto": upto, "total": F.sum("n").over(over)})
-    wanted = F.array(*[F.struct(F.lit(k).alias("cut"), t.cast("long").alias("size")) for k, t in targets.items()])
+    wanted = F.array(*[F.struct(F.lit(k).alias("cut"), F.least(t.cast("long"), F.col("total")).alias("size")) for k, t in targets.items()])
     marks = (hist.withColumn("w", F.explode(wanted)).select("*", "w.*")
              .filter((F.col("size") > F.col("upto") - F.col("n")) & (F.col("size") <= F.col("upto")))
              .select(*strata, "b", "cut", (F.col("size") - F.col("upto") + F.col("n")).alias("need")))
@@ -135,6 +136,8 @@ def balanced_plan(df: DataFrame, id_col: str, target: str, factor: int = 1, k: i
     """
     major, n_major, _, n_minor = class_sizes(df, target)
     keep = n_minor * factor
+    if keep > n_major:
+        raise ValueError(f"factor {factor} asks for {keep} rows of the majority class, which has {n_major}")
     spare_test = -(-(n_major - keep) // 2)
     is_major = F.col(target) == F.lit(major)
     flagged = with_cuts(df.filter(is_major), id_col, [], {"__keep": F.lit(keep),

@@ -59,6 +59,15 @@ def test_upsert_and_duplicates(spark):
     got = {(r.k, r.v) for r in rowsets.upsert_first_wins(old, new, ["k"], ["v"], F.col("o")).collect()}
     assert got == {("a", "early"), ("b", "x")}
     assert {r.o for r in rowsets.duplicate_rows(new, ["k"], "o").collect()} == {2}
+    same = spark.createDataFrame([("a", 1, "x")] * 3 + [("a", 1, "y"), (None, 2, None), (None, 2, None)], "k string, o int, v string")
+    got = sorted(map(tuple, rowsets.duplicate_rows(same, ["k", "o"], "o").collect()), key=str)
+    assert got == [("a", 1, "x"), ("a", 1, "x"), ("a", 1, "y"), (None, 2, None)]
+
+
+def test_texts_of_missing_spreads_and_numeric_columns(spark):
+    assert one(spark, X.fmt_mean_std(F.col("m"), F.lit(None).cast("double")), m=1.0) is None
+    df = spark.sql("SELECT 1 AS i, 2.5D AS d, INTERVAL '1' DAY AS v, 'x' AS s, CAST(1 AS DECIMAL(3,1)) AS e")
+    assert X.numeric_cols(df) == ["i", "d", "e"]
 
 
 def test_contract_lists_every_failure(spark):

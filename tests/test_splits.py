@@ -70,3 +70,12 @@ def test_smote_points_lie_between_parents(spark):
             a, b = at[r.seed_id], at[r.neighbour_id]
             assert np.allclose(np.array(r.vec), a + r.t * (b - a)) and 0 <= r.t < 1
     assert len(resample.smote(df, "id", "vec", "y").collect()) == 70
+
+
+def test_sizes_above_the_stratum_take_all_rows_and_too_large_a_factor_is_refused(spark):
+    rows = spark.createDataFrame([(i, int(i >= 70)) for i in range(100)], "id long, y int")
+    assert sampling.with_cuts(rows, "id", ["y"], {"pick": F.lit(1000)}).filter("pick").count() == 100
+    assert sampling.with_cuts(rows, "id", [], {"pick": F.lit(1000)}).filter("pick").count() == 100
+    with pytest.raises(ValueError):
+        sampling.balanced_plan(rows, "id", "y", factor=5)
+    assert sampling.balanced_plan(rows, "id", "y", factor=2).filter("y = 0 AND holdout = 'train'").count() > 0
