@@ -55,7 +55,7 @@ def raw_loans(t: Tables) -> DataFrame:
     joined = (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
               .join(t.nation.alias("cn"), F.col("c_nationkey") == F.col("cn.n_nationkey")))
-    return joined.selectExpr(*[f"{_spark_text(e)} AS {n}" for n, e in _RAW.items()], f"{LINE_ID} AS {LC.ROW_ID}")
+    return joined.selectExpr(*[f"{_spark_text(e)} AS {n}" for n, e in _RAW.items()], f"{LINE_ID} AS {LC.ROW_ID}").repartition(LC.ROW_ID)
 
 
 def _typed_sql() -> str:

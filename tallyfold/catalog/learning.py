@@ -11,7 +11,7 @@ from tallyfold.operators import interpret, models, sampling, tuning
 from tallyfold.operators import metrics as K
 from tallyfold.operators.encode import assemble
 from tallyfold.plans import experiment as X
-from tallyfold.session import spread, stage_table
+from tallyfold.session import stage_table
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -25,7 +25,7 @@ def rows(t: Tables) -> DataFrame:
 
 
 def plan(t: Tables, strata=("y",)) -> DataFrame:
-    return stage_table(sampling.plan_splits(stage_table(spread(rows(t)), "rows"), "id", list(strata)), "plan")
+    return stage_table(sampling.plan_splits(stage_table(rows(t).repartition("id"), "rows"), "id", list(strata)), "plan")
 
 
 def _class_run(t: Tables, name: str, number: int = 4, resampler: str = "none", **params) -> DataFrame:
@@ -253,7 +253,7 @@ def partial_dependence(t: Tables) -> DataFrame:
 
 @query("permutation_importance", f"""WITH {_LS}, r AS (SELECT s.*, rep, {h32("concat(id, '-', rep)")} AS h FROM s, range(1, 11) g(rep)),
 d AS (SELECT *, coalesce(lead(x1) OVER k, first_value(x1) OVER k) AS p1, coalesce(lead(x2) OVER k, first_value(x2) OVER k) AS p2 FROM r
-WINDOW k AS (PARTITION BY rep, h >> (32 - greatest(0, floor(log2((SELECT count(*) FROM lineitem) // 4096 + 0.5)))::INT) ORDER BY h, id)),
+WINDOW k AS (PARTITION BY rep ORDER BY h, id)),
 b AS (SELECT avg((y - my - w1 * (x1 - m1) - w2 * (x2 - m2)) ** 2) AS base, any_value(vy) AS vy FROM s, w),
 z AS (SELECT rep, avg((y - my - w1 * (p1 - m1) - w2 * (x2 - m2)) ** 2) AS z1, avg((y - my - w1 * (x1 - m1) - w2 * (p2 - m2)) ** 2) AS z2 FROM d, w GROUP BY 1)
 SELECT 'l_quantity' AS feature, rep::INT AS repeat, round((z1 - base) / vy, 6) AS importance FROM z, b UNION ALL

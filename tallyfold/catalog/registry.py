@@ -39,6 +39,11 @@ def h32(key: str, seed: str = "12345") -> str:
     return f"('0x' || substr(md5(({key})::VARCHAR || ':{seed}'), 1, 8))::BIGINT"
 
 
+def h60(key: str, seed: str = "12345") -> str:
+    """SQL text of its longer form."""
+    return f"('0x' || substr(md5(({key})::VARCHAR || ':{seed}'), 1, 15))::BIGINT"
+
+
 # Line number of a lineitem row, in SQL both engines read. The pair (order, line) repeats in the test tables, so the price
 # in cents (below 10^9) tells such lines apart; it stays in the long range up to a billion orders.
 LINE_ID = "((l_orderkey * 8 + l_linenumber) * 1000000000 + CAST(ROUND(l_extendedprice * 100) AS BIGINT))"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.catalog.registry import Tables, h32, query
+from tallyfold.catalog.registry import Tables, h32, h60, query
 from tallyfold.operators import neighbours, resample, sampling
 from tallyfold.operators.rowsets import first_per_key
 
@@ -102,7 +102,7 @@ def random_undersample(t: Tables) -> DataFrame:
 
 _OVER = f"""o AS (SELECT o_orderkey, y FROM {_SLIM}), c AS (SELECT min(n) AS small, max(n) AS big FROM (SELECT count(*) AS n FROM o GROUP BY y)),
 pool AS (SELECT *, row_number() OVER (ORDER BY {_H0}, o_orderkey) AS rk FROM o WHERE y = 1),
-draws AS (SELECT d, ({h32('d', '12345:draw')}) % small + 1 AS rk FROM c, range({{need}}) g(d)),
+draws AS (SELECT d, ({h60('d', '12345:draw')}) % small + 1 AS rk FROM c, range({{need}}) g(d)),
 grown AS (SELECT o_orderkey, y, NULL::BIGINT AS draw FROM o UNION ALL SELECT o_orderkey, y, d FROM draws JOIN pool USING (rk))"""
 
 

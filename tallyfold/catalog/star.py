@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyfold.catalog.registry import LINE_ID, Tables, h32, query
 from tallyfold.operators.rowsets import keep_in
 from tallyfold.plans import warehouse as WH
-from tallyfold.session import spread, stage_table
+from tallyfold.session import stage_table
 
 # Loan columns from a line, its order, customer, supplier and their nations; text both engines read.
 LOAN_COLUMNS = {
@@ -106,7 +106,7 @@ ALL_SQL = "WITH " + ", ".join([LOANS_SQL, STATES_SQL, BORROWERS_SQL, BANKS_SQL,
 
 def star(t: Tables) -> WH.Star:
     """The star of the cleaned loans, which the load reads from a written table."""
-    return WH.load_star(stage_table(spread(loans(t)), "loans"))
+    return WH.load_star(stage_table(loans(t).repartition("loan_number"), "loans"))
 
 
 @query("dim_states", f"WITH {LOANS_SQL}, {STATES_SQL} SELECT * FROM states")

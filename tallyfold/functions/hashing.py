@@ -15,6 +15,12 @@ def hash32(key: Column, seed: int | str = SEED) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
+def hash60(key: Column, seed: int | str = SEED) -> Column:
+    """First 60 bits of the same md5, for draws from more rows than 32 bits can number."""
+    text = F.concat(key.cast("string"), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def unit_interval(key: Column, seed: int | str = SEED) -> Column:
     """Uniform double in [0, 1) from the same hash."""
     return hash32(key, seed) / F.lit(float(HASH_SPACE))

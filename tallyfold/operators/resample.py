@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyfold.functions.hashing import HASH_SPACE, SEED, hash32
+from tallyfold.functions.hashing import HASH_SPACE, SEED, hash32, hash60
 from tallyfold.operators.neighbours import knn_join
 from tallyfold.operators.ordered import rank_by, rank_by_hash
 from tallyfold.operators.sampling import class_sizes, with_cuts
@@ -33,7 +33,7 @@ def random_oversample(df: DataFrame, id_col: str, label: str, ratio: float = 1.0
     pool = rank_by_hash(df.filter(F.col(label) == F.lit(minor)).withColumn("__h", hash32(F.col(id_col), seed)),
                         "__h", id_col, name="__rank").drop("__h")
     draws = df.sparkSession.range(need).select(
-        F.col("id").alias("draw"), (F.pmod(hash32(F.col("id"), f"{seed}:draw"), F.lit(n_minor)) + 1).alias("__rank"))
+        F.col("id").alias("draw"), (F.pmod(hash60(F.col("id"), f"{seed}:draw"), F.lit(n_minor)) + 1).alias("__rank"))
     extra = draws.join(pool, "__rank").drop("__rank")
     return df.unionByName(extra, allowMissingColumns=True)
 

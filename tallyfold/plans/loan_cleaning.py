@@ -9,7 +9,7 @@ from tallyfold.functions import scalars as X
 from tallyfold.operators.contract import Field, validate
 from tallyfold.operators.ordered import forward_fill
 from tallyfold.operators.rowsets import drop_if_greater, fill_by_keyword, fill_constants, keep_in
-from tallyfold.session import spread, stage_table
+from tallyfold.session import stage_table
 from tallyfold.sources.io import read_csv
 
 ROW_ID = "__row"
@@ -144,7 +144,7 @@ def derived(df: DataFrame) -> DataFrame:
 
 def clean_loans(raw: DataFrame) -> DataFrame:
     """The whole cleaning, in the order the results depend on. The text is parsed once, into a written table."""
-    kept = stage_table(filtered(typed(spread(raw))), "typed")
+    kept = stage_table(filtered(typed(raw)), "typed")
     out = derived(recoded(imputed(kept)))
     return out.select(*[f.name for f in CONTRACT])
 

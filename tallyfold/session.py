@@ -47,12 +47,3 @@ def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """At least one task per core for CPU-heavy work on an input kept in few files.
-
-    A table of many files already has its tasks and passes through without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df._jdf.inputFiles())  # counted in the JVM: the names of a large table's files stay there
-    return df.repartition(cores) if files < cores else df
