@@ -92,6 +92,22 @@ def anomalies_by_weekday(t: Tables) -> DataFrame:
     return timeseries.count_by_weekday(odd.withColumn("ts", F.to_timestamp("bucket", "yyyy-MM-dd HH:mm")), "ts")
 
 
+@query("anomalies_by_hour", f"WITH {_MINUTES} SELECT hour(bucket::TIMESTAMP)::INT AS hour, count(*) AS count FROM labelled WHERE cluster = -1 GROUP BY 1")
+def anomalies_by_hour(t: Tables) -> DataFrame:
+    odd = density.anomalies(density.dbscan_1d(_minutes(t), "bucket", "total", 1.0, 50))
+    return timeseries.count_by_hour(odd.withColumn("ts", F.to_timestamp("bucket", "yyyy-MM-dd HH:mm")), "ts")
+
+
+@query("density_cluster_days", f"WITH {_MINUTES} SELECT cluster, array_to_string(list_sort(list_distinct(list(substr(bucket, 1, 10)))), ',') AS dates, "
+       "array_to_string(list_sort(list_distinct(list(dayname(bucket::TIMESTAMP)))), ',') AS day_names FROM labelled GROUP BY 1")
+def density_cluster_days(t: Tables) -> DataFrame:
+    """Days and weekdays of the members of each density cluster."""
+    found = density.dbscan_1d(_minutes(t), "bucket", "total", 1.0, 50)
+    days = found.withColumns({"date": F.substring("bucket", 1, 10), "day": F.date_format(F.to_timestamp("bucket", "yyyy-MM-dd HH:mm"), "EEEE")})
+    out = density.cluster_members(days, "date", "day")
+    return out.select("cluster", F.array_join("dates", ",").alias("dates"), F.array_join("day_names", ",").alias("day_names"))
+
+
 @query("cluster_sizes", f"WITH {_MINUTES} SELECT cluster, count(*) AS count FROM labelled GROUP BY 1")
 def cluster_sizes(t: Tables) -> DataFrame:
     return density.cluster_sizes(density.dbscan_1d(_minutes(t), "bucket", "total", 1.0, 50))
