@@ -260,8 +260,8 @@ def find(texts: Sequence[str], model: Crf) -> list[tuple[list[Span], list[Span]]
 def labelled_runs(docs: DataFrame, max_docs: int = 2000, max_runs: int = 4000, seed: int = 17) -> tuple[list, list]:
     """A small labelled table: runs of candidate words with tags from the fixed patterns.
 
-    Of the documents that hold a digit or an at sign, the ``max_docs`` with the smallest hash of their text are read, and
-    of their runs the ``max_runs`` with the smallest hash, those with an entity before the others up to one half each.
+    Of the documents that hold a digit or an at sign, the ``max_docs`` with the smallest hash of their text are read
+    (copies once), and of their runs the ``max_runs`` with the smallest hash, those with an entity before the others up to one half each.
     """
     source = docs.select("text").filter(F.col("text").rlike("[0-9@]")).withColumn("h", F.xxhash64("text", F.lit(seed)))
     low = source.select("h").distinct().orderBy("h").limit(max_docs)
@@ -276,7 +276,7 @@ def labelled_runs(docs: DataFrame, max_docs: int = 2000, max_runs: int = 4000, s
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.list_(pa.int32()))), pa.array([r[1] for r in rows], pa.list_(pa.int32()))],
                                              names=["ids", "tags"])
 
-    runs = source.join(F.broadcast(low), "h").select("text").mapInArrow(task, "ids array<array<int>>, tags array<int>")
+    runs = source.join(F.broadcast(low), "h").groupBy("h").agg(F.first("text").alias("text")).select("text").mapInArrow(task, "ids array<array<int>>, tags array<int>")
     rank = F.xxhash64("ids", "tags", F.lit(seed))
     some = F.exists("tags", lambda t: t > 0)
     rows = [r for part in (runs.filter(some), runs.filter(~some)) for r in
