@@ -217,7 +217,7 @@ def grid_search(t: Tables) -> DataFrame:
     """Mean and spread of every metric over the folds for each smoothing of naive Bayes."""
     prepare = X.prepare_with("classification", 1, ["brand"], ["l_extendedprice", "l_discount"], "y", "id")
     out = tuning.tune(plan(t), "Gaussian NB", prepare, X.classifiers("y", "id")["Gaussian NB"],
-                      lambda m, df: m.transform(df), {"var_smoothing": [1e-9, 1e-1]}, "y", k=3)
+                      lambda m, df: m.transform(df), tuning.GRIDS["gaussian_nb"], "y")
     return out.filter(~F.col("metric").endswith("_time"))
 
 

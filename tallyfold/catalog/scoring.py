@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from tallyfold.operators import encode as E
 from tallyfold.operators import metrics as K
 from tallyfold.operators import runs as R
 from tallyfold.operators.sampling import stratified_holdout
+from tallyfold.session import shared_folder
+from tallyfold.sources import io
 
 # --- encoders: fitted on lines of even parts, applied to all lines ------------------------------
 
@@ -119,10 +123,13 @@ def target_scale(t: Tables) -> DataFrame:
     return rounded(rounded(out, ("logged", "scaled"), 9), ("back",), 4)
 
 
-@query("recipe_features", f"""WITH {_LINES}, c AS (SELECT brand, row_number() OVER (ORDER BY brand) - 1 AS code FROM (SELECT DISTINCT brand FROM tr)),
+_RECIPE_SQL = f"""WITH {_LINES}, c AS (SELECT brand, row_number() OVER (ORDER BY brand) - 1 AS code FROM (SELECT DISTINCT brand FROM tr)),
 e AS (SELECT s.*, coalesce(code, -1)::DOUBLE AS b FROM s LEFT JOIN c USING (brand)), et AS (FROM e WHERE l_partkey % 30 < 25),
 p AS (SELECT min(b) AS b0, max(b) - min(b) AS bw, min(l_quantity) AS q0, max(l_quantity) - min(l_quantity) AS qw FROM et)
-SELECT id, round((b - b0) / bw, 8) AS f0, round((l_quantity - q0) / qw, 8) AS f1 FROM e, p""")
+SELECT id, round((b - b0) / bw, 8) AS f0, round((l_quantity - q0) / qw, 8) AS f1 FROM e, p"""
+
+
+@query("recipe_features", _RECIPE_SQL)
 def recipe_features(t: Tables) -> DataFrame:
     """Encoding 6: codes, standardised numbers, everything to [0, 1]; fitted on the training part only."""
     df = lines(t)
@@ -132,6 +139,17 @@ def recipe_features(t: Tables) -> DataFrame:
     return model.transform(df).select("id", F.round(x[0], 8).alias("f0"), F.round(x[1], 8).alias("f1"))
 
 
+@query("saved_recipe", _RECIPE_SQL)
+def saved_recipe(t: Tables) -> DataFrame:
+    """The same encoding fitted, saved, loaded and only then applied."""
+    df, path = lines(t), f"{shared_folder(t.spark)}/tallyfold/recipe-{uuid.uuid4().hex}"
+    model = E.recipe("classification", 6, ["brand"], ["l_quantity"], "y", "id")
+    model.fit_transform(_train(df))
+    io.save_fitted(t.spark, model, path)
+    x = vector_to_array("features")
+    return io.load_fitted(t.spark, path).transform(df).select("id", F.round(x[0], 8).alias("f0"), F.round(x[1], 8).alias("f1"))
+
+
 @query("svd_features")
 def svd_features(t: Tables) -> DataFrame:
     """Regression encoding 2: one-hot, then as many singular directions as categorical columns."""
@@ -343,9 +361,9 @@ def summarize_resource(t: Tables) -> DataFrame:
     return rounded(R.summarize_resource(_cv(t)), ("mean", "std"), 9)
 
 
-@query("metric_by_experiment", f"WITH {_RUNS}, {_CV} SELECT experiment, parent_id, parent_name, metric, round(mean, 6) AS mean, round(CASE WHEN abs(std) >= "
+@query("metric_by_experiment", f"WITH {_RUNS}, {_CV} SELECT experiment, parent_id, parent_name, metric, round(mean, 6) AS mean, round(CASE WHEN abs(std) > "
        "abs(mean) THEN 0.99 * abs(mean) ELSE std END, 6) AS std FROM (" + " UNION ALL ".join(
-           f"SELECT experiment, parent_id, parent_name, '{m}' AS metric, {m}_mean AS mean, {m}_std AS std FROM cv" for m in ("f1_macro", "mape", "r_squared")) + ")")
+           f"SELECT experiment, parent_id, parent_name, '{m}' AS metric, {'greatest(r_squared_mean, -1)' if m == 'r_squared' else m + '_mean'} AS mean, {m}_std AS std FROM cv" for m in ("f1_macro", "mape", "r_squared")) + ")")
 def metric_by_experiment(t: Tables) -> DataFrame:
     return rounded(R.metric_by_experiment(_cv(t), ["f1_macro", "mape", "r_squared"]), ("mean", "std"))
 
@@ -401,7 +419,7 @@ SELECT a AS antecedent, c AS consequent, round(p.freq / o.freq, 9) AS confidence
 round(p.freq / total, 9) AS support FROM pairs p JOIN one o ON o.item = a JOIN one k ON k.item = c, n
 WHERE p.freq >= ceil(0.01 * total) AND o.freq >= ceil(0.01 * total) AND p.freq / o.freq >= 0.15""")
 def association_rules(t: Tables) -> DataFrame:
-    out = B.association_rules(_items(t), 0.01, 0.15).filter(F.size("antecedent") == 1)
+    out = B.association_rules(_items(t), 0.01, 0.15)
     return out.select(F.array_join("antecedent", ",").alias("antecedent"), F.array_join("consequent", ",").alias("consequent"),
                       F.round("confidence", 9).alias("confidence"), F.round("lift", 8).alias("lift"), F.round("support", 9).alias("support"))
 

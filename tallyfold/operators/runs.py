@@ -125,8 +125,9 @@ def summarize_resource(cv: DataFrame, metrics: Sequence[str] = ("fit_time", "sco
 
 
 def metric_by_experiment(cv: DataFrame, metrics: Sequence[str], divisor: float = 1.0) -> DataFrame:
-    """(experiment, metric, mean, std) in long form, the spread held below the mean."""
-    capped = cv.withColumns({f"{m}_std": cap_std(F.col(f"{m}_mean"), F.col(f"{m}_std")) for m in metrics})
+    """(experiment, metric, mean, std) in long form. R-squared is at least -1; a spread above the mean is held below it."""
+    floored = cv.withColumns({f"{m}_mean": F.greatest(F.col(f"{m}_mean"), F.lit(-1.0)) for m in metrics if m == "r_squared"})
+    capped = floored.withColumns({f"{m}_std": cap_std(F.col(f"{m}_mean"), F.col(f"{m}_std"), strict=True) for m in metrics})
     cells = [F.struct(F.lit(m).alias("metric"), (F.col(f"{m}_mean") / divisor).alias("mean"),
                       (F.col(f"{m}_std") / divisor).alias("std")) for m in metrics]
     keys = [c for c in ("experiment", "parent_id", "parent_name") if c in cv.columns]

@@ -71,12 +71,13 @@ def validate(plan: DataFrame, name: str, prepare: Callable, fit: Callable, score
         # Fits pass over the rows many times; the written table spares them the joins of the encoders.
         train = stage_table(train, "train")
         model, fit_time = timed(lambda t=train: fit(t))
-        scored = stage_table(score(model, evaluate).select(label, "prediction"), "scored")
+        # The time of scoring is that of writing the predictions; the metrics then read them.
+        scored, score_time = timed(lambda m=model, e=evaluate: stage_table(score(m, e).select(label, "prediction"), "scored"))
         if task == "classification":
             report, names = classification_metrics(scored, label, "prediction"), CLASS_METRICS
         else:
             report, names = regression_metrics(scored, label, "prediction"), REG_METRICS
-        one, score_time = timed(report.first)
+        one = report.first()
         metrics = {m: one[m] for m in names} | {"fit_time": float(fit_time), "score_time": float(score_time)}
         rows.append((experiment, uuid.uuid4().hex, parent, split, time.time(), metrics, _text(params)))
     rows.insert(0, (experiment, parent, None, name, begun, {}, _text(params)))

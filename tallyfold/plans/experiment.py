@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyfold.operators import models as M
 from tallyfold.operators import resample as R
 from tallyfold.operators.encode import recipe
+from tallyfold.operators.models import balanced_weights
 from tallyfold.operators.neighbours import knn_classify
 from tallyfold.operators.tuning import validate
 
@@ -40,8 +41,11 @@ def _near(df: DataFrame, id_col: str, label: str) -> DataFrame:
 
 
 def prepare_with(kind: str, number: int, categorical: Sequence[str], numerical: Sequence[str], label: str, id_col: str,
-                 resampler: str = "none") -> Callable:
-    """(train, evaluate) -> encoded frames; fitted on the training rows of each split alone."""
+                 resampler: str = "none", weight: str | None = None) -> Callable:
+    """(train, evaluate) -> encoded frames; fitted on the training rows of each split alone.
+
+    ``weight`` names a column of balanced class weights for the training frame; fits take it as their ``weight``.
+    """
 
     def prepare(train: DataFrame, evaluate: DataFrame) -> tuple[DataFrame, DataFrame]:
         model = recipe(kind, number, categorical, numerical, label, id_col)
@@ -50,6 +54,8 @@ def prepare_with(kind: str, number: int, categorical: Sequence[str], numerical:
             plain = fitted.select(id_col, label, vector_to_array("features").alias("vec"))
             fitted = RESAMPLERS[resampler](plain, id_col, label).select(
                 id_col, label, array_to_vector("vec").alias("features"))
+        if weight:
+            fitted = balanced_weights(fitted, label, weight)
         encoded = model.transform(evaluate).select(id_col, label, "features")
         return fitted, encoded
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import json
+import pickle
 from collections.abc import Sequence
 
+from pyspark.ml.util import JavaMLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +52,55 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+class _Saver(pickle.Pickler):
+    """Pickles an object; its tables and Spark models go to folders of their own, named by number."""
+
+    def __init__(self, buffer: io.BytesIO, path: str):
+        super().__init__(buffer)
+        self.path, self.count = path, 0
+
+    def persistent_id(self, obj):
+        if not isinstance(obj, (DataFrame, JavaMLWritable)):
+            return None
+        self.count += 1
+        place = f"{self.path}/part-{self.count}"
+        if isinstance(obj, DataFrame):
+            obj.write.mode("overwrite").parquet(place)
+            return "table", self.count, obj.schema.json()
+        obj.write().overwrite().save(place)
+        return "model", self.count, type(obj)
+
+
+class _Loader(pickle.Unpickler):
+    def __init__(self, buffer: io.BytesIO, spark: SparkSession, path: str):
+        super().__init__(buffer)
+        self.spark, self.path = spark, path
+
+    def persistent_load(self, pid):
+        kind, number, what = pid
+        place = f"{self.path}/part-{number}"
+        if kind == "model":
+            return what.load(place)
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(what))).parquet(place)
+
+
+def save_fitted(spark: SparkSession, obj, path: str) -> None:
+    """Save a fitted encoder, recipe or model of this library with all tables and Spark models inside it.
+
+    Fitted tables are copied, so the saved object outlives the session and its staged tables. A folder is written whole or,
+    if its last part is missing, cannot be loaded.
+    """
+    buffer = io.BytesIO()
+    _Saver(buffer, path).dump(obj)
+    spark.createDataFrame([(buffer.getvalue(),)], "state binary").coalesce(1).write.mode("overwrite").parquet(f"{path}/object")
+
+
+def load_fitted(spark: SparkSession, path: str):
+    """The object saved at ``path``. Load only from folders you trust: it is a pickle."""
+    state = spark.read.parquet(f"{path}/object").first().state
+    return _Loader(io.BytesIO(bytes(state)), spark, path).load()
+
+
 # --- warehouse tables --------------------------------------------------------------------------
 
 def create_table(spark: SparkSession, name: str, ddl: str) -> None:

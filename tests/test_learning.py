@@ -149,3 +149,30 @@ def test_run_rows_and_grid(data):
     grid = tuning.tune(plan, "nb", prepare, X.classifiers("label", "id")["Gaussian NB"], lambda m, d: m.transform(d),
                        {"var_smoothing": [1e-9, 1.0]}, "label", k=2)
     assert grid.filter("metric = 'accuracy'").count() == 2
+
+
+def test_fitted_objects_survive_saving(spark, tmp_path):
+    from tallyfold.operators import encode, models
+    from tallyfold.sources import io
+
+    df = spark.range(200).selectExpr("id", "concat('c', id % 5) AS c", "double(id % 17) AS x", "int(id % 17 > 8) AS y")
+    recipe = encode.recipe("classification", 4, ["c"], ["x"], "y", "id")
+    train = recipe.fit_transform(df)
+    tree = models.fit_tree(train, "y")
+    io.save_fitted(spark, {"recipe": recipe, "tree": tree}, str(tmp_path / "both"))
+    back = io.load_fitted(spark, str(tmp_path / "both"))
+    want = tree.transform(recipe.transform(df)).select("id", "features", "prediction").orderBy("id").collect()
+    got = back["tree"].transform(back["recipe"].transform(df)).select("id", "features", "prediction").orderBy("id").collect()
+    assert got == want
+
+
+def test_balanced_weights_reach_the_fits(spark):
+    from tallyfold.operators import sampling
+    from tallyfold.plans import experiment as X
+
+    df = spark.range(400).selectExpr("id", "concat('c', id % 5) AS c", "double(id % 19) AS x", "int(id % 19 > 15) AS y")
+    plan = sampling.plan_splits(df, "id", ["y"])
+    prepare = X.prepare_with("classification", 4, ["c"], ["x"], "y", "id", weight="weight")
+    fit = X.classifiers("y", "id")["Logistic Regression"]
+    runs = X.run_model(plan, "weighted", lambda t: fit(t, weight="weight"), prepare, "e", "y", splits=["validation"])
+    assert runs.filter("parent_run_id IS NOT NULL").count() == 1
