@@ -76,7 +76,7 @@ def calibrated_svc_isotonic(t: Tables) -> DataFrame:
 
 @query("decision_tree")
 def decision_tree(t: Tables) -> DataFrame:
-    return _class_run(t, "Decision Tree", 1, maxDepth=8)
+    return _class_run(t, "Decision Tree", 1)
 
 
 @query("random_forest")

@@ -164,7 +164,7 @@ def daily_kmeans(t: Tables) -> DataFrame:
 
 @query("daily_elbow")
 def daily_elbow(t: Tables) -> DataFrame:
-    return shapes.elbow(timeseries.daily_vectors(t.events, "ts", "value"), "date", "profile", iters=10)
+    return shapes.elbow(timeseries.daily_vectors(t.events, "ts", "value"), "date", "profile")
 
 
 @query("daily_cluster_members")

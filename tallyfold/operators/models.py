@@ -124,27 +124,29 @@ class GaussianNB:
 
 # --- trees -------------------------------------------------------------------------------------
 
+DEEPEST = 30  # trees without a stated depth grow as far as Spark allows
+
 def fit_tree(df: DataFrame, label: str = "label", **params):
-    return DecisionTreeClassifier(labelCol=label, seed=SEED, **{"maxDepth": 10, **params}).fit(df)
+    return DecisionTreeClassifier(labelCol=label, seed=SEED, **{"maxDepth": DEEPEST, **params}).fit(df)
 
 
 def fit_forest(df: DataFrame, label: str = "label", **params):
-    return RandomForestClassifier(labelCol=label, seed=SEED, **{"numTrees": 100, "maxDepth": 10, **params}).fit(df)
+    return RandomForestClassifier(labelCol=label, seed=SEED, **{"numTrees": 100, "maxDepth": DEEPEST, **params}).fit(df)
 
 
 def fit_tree_reg(df: DataFrame, label: str = "label", **params):
-    return DecisionTreeRegressor(labelCol=label, seed=SEED, **{"maxDepth": 10, **params}).fit(df)
+    return DecisionTreeRegressor(labelCol=label, seed=SEED, **{"maxDepth": DEEPEST, **params}).fit(df)
 
 
 def fit_forest_reg(df: DataFrame, label: str = "label", **params):
-    return RandomForestRegressor(labelCol=label, seed=SEED, **{"numTrees": 100, "maxDepth": 10, **params}).fit(df)
+    return RandomForestRegressor(labelCol=label, seed=SEED, **{"numTrees": 100, "maxDepth": DEEPEST, **params}).fit(df)
 
 
 # Named settings for the three boosting styles of the experiments.
 BOOST_PRESETS = {
     "depthwise": {"maxIter": 100, "stepSize": 0.3, "maxDepth": 6},
     "leafy": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5},
-    "slow": {"maxIter": 100, "stepSize": 0.03, "maxDepth": 6},
+    "slow": {"maxIter": 1000, "stepSize": 0.03, "maxDepth": 6},
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -69,21 +70,24 @@ def validate(plan: DataFrame, name: str, prepare: Callable, fit: Callable, score
             continue
         train, evaluate = prepare(*named_split(plan, split))
         # Fits pass over the rows many times; the written table spares them the joins of the encoders.
-        train = stage_table(train, "train")
-        model, fit_time = timed(lambda t=train: fit(t))
-        # The time of scoring is that of writing the predictions; the metrics then read them.
-        scored, score_time = timed(lambda m=model, e=evaluate: stage_table(score(m, e).select(label, "prediction"), "scored"))
-        if task == "classification":
-            report, names = classification_metrics(scored, label, "prediction"), CLASS_METRICS
-        else:
-            report, names = regression_metrics(scored, label, "prediction"), REG_METRICS
-        one = report.first()
-        metrics = {m: one[m] for m in names} | {"fit_time": float(fit_time), "score_time": float(score_time)}
+        metrics = _measured(stage_table(train, "train"), evaluate, fit, score, label, task)
         rows.append((experiment, uuid.uuid4().hex, parent, split, time.time(), metrics, _text(params)))
     rows.insert(0, (experiment, parent, None, name, begun, {}, _text(params)))
     return spark.createDataFrame(rows, RUN_SCHEMA).withColumn("start_time", F.timestamp_seconds("start_time"))
 
 
+def _measured(train: DataFrame, evaluate: DataFrame, fit: Callable, score: Callable, label: str, task: str) -> dict[str, float]:
+    """Metrics and times of one fit. The time of scoring is that of writing the predictions; the metrics then read them."""
+    model, fit_time = timed(lambda: fit(train))
+    scored, score_time = timed(lambda: stage_table(score(model, evaluate).select(label, "prediction"), "scored"))
+    if task == "classification":
+        report, names = classification_metrics(scored, label, "prediction"), CLASS_METRICS
+    else:
+        report, names = regression_metrics(scored, label, "prediction"), REG_METRICS
+    one = report.first()
+    return {m: one[m] for m in names} | {"fit_time": float(fit_time), "score_time": float(score_time)}
+
+
 RUN_SCHEMA = ("experiment string, run_id string, parent_run_id string, name string, start_time double, "
               "metrics map<string,double>, params map<string,string>")
 
@@ -94,14 +98,15 @@ def _text(params: Mapping | None) -> dict[str, str]:
 
 def tune(plan: DataFrame, name: str, prepare: Callable, fit: Callable, score: Callable, grid: Mapping[str, Sequence],
          label: str, task: str = "classification", k: int = 5) -> DataFrame:
-    """(setting, metric, mean, std) over the folds for every setting. ``fit`` takes (train, **setting)."""
-    frames = []
-    for i, setting in enumerate(combinations(grid)):
-        runs = validate(plan, name, prepare, lambda t, s=setting: fit(t, **s), score, f"tuning_{i}", label, task,
-                        [f"fold_{j}" for j in range(1, k + 1)], params=setting)
-        long = runs.filter("parent_run_id is not null").select("params", F.explode("metrics").alias("metric", "value"))
-        frames.append(long.select(F.to_json("params").alias("setting"), "metric", "value"))
-    union = frames[0]
-    for f in frames[1:]:
-        union = union.unionByName(f)
-    return union.groupBy("setting", "metric").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    """(setting, metric, mean, std) over the folds for every setting. ``fit`` takes (train, **setting).
+
+    Each fold is encoded once and written; all settings are fitted on it.
+    """
+    rows = []
+    for j in range(1, k + 1):
+        train, evaluate = (stage_table(part, "fold") for part in prepare(*named_split(plan, f"fold_{j}")))
+        for setting in combinations(grid):
+            metrics = _measured(train, evaluate, lambda t, s=setting: fit(t, **s), score, label, task)
+            rows += [(json.dumps(_text(setting), separators=(",", ":")), m, v) for m, v in metrics.items()]
+    found = plan.sparkSession.createDataFrame(rows, "setting string, metric string, value double")
+    return found.groupBy("setting", "metric").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
