@@ -34,6 +34,17 @@ def _run_rows(window: int, k: int):
     return task
 
 
+def _anchor_rows(window: int, k: int):
+    """Task: the minimizers of all runs and nothing else, for the first count."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers()
+        for batch in batches:
+            for _, _, data, off in text_chunks(batch.column(0)):
+                anchor, = window_runs(prefix_hash(LETTERS[data], powers), off, window, k, powers, anchors_only=True)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64))], names=["anchor"])
+    return task
+
+
 PIECES = "key long, doc_id long, mark long, start int, bytes binary"
 
 
@@ -191,7 +202,8 @@ def repeated_byte_spans(docs: DataFrame, window: int = 100, k: int = 24, shard_b
     """
     source = keyed(docs, id_col, text_col)
     runs = source.mapInArrow(_run_rows(window, k), RUNS)
-    seen = runs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    seen = source.select("text").mapInArrow(_anchor_rows(window, k), "anchor long").groupBy("anchor").agg(F.count("*").alias("n")) \
+        .filter("n > 1").select("anchor")
     # Written first: a join on a plain table, not on an aggregate, is one whose hot minimizers can be split.
     runs = stage_table(runs.join(stage_table(seen, "seen").hint("merge"), "anchor"), "runs")
     kinds = stage_table(runs.groupBy("anchor", "content").agg(
