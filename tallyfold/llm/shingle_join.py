@@ -15,7 +15,7 @@ from tallyfold.operators.components import connected_components
 from tallyfold.session import stage_table
 
 LETTERS = byte_table(10)
-ZONE = 0.2  # share of the hash space whose shingles are counted over all documents
+ZONE = 4 / 3  # the share of the hash space whose shingles are counted over all documents, in prefix lengths
 CROWD = 32  # classes in a bucket beyond which they are filed again by the counts of all their shingles
 SIGN = -(1 << 63)
 
@@ -45,7 +45,7 @@ def document_shingles(data: np.ndarray, off: np.ndarray, k: int, powers: Powers)
 
 def _sets(k: int, percent: int, whole: bool):
     """Task: distinct shingles of each document, sorted; without ``whole`` only those a prefix may need."""
-    cut = np.uint64(int(ZONE * (1 << 64)))
+    cut = np.uint64(min((1 << 64) - 1, int(ZONE * (100 - percent) / 100 * (1 << 64))))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
