@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -36,6 +37,9 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_STAGED: dict[str, list[str]] = {}  # application to the tables it has staged
+
+
 def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
@@ -44,6 +48,22 @@ def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tallyfold/{label}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished jobs now; it does so when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove all tables this application has staged. Only for a caller who has written what was made from them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        place = hadoop(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    release_shuffles(spark)
+
