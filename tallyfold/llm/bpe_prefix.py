@@ -214,7 +214,7 @@ class PrefixEncoder:
 class Codec:
     """Whole texts to ids and back, with a bounded memory of words seen."""
 
-    def __init__(self, vocabulary: dict, remember: int = 400_000):
+    def __init__(self, vocabulary: dict, remember: int = 200_000):
         self.encoder, self.special = PrefixEncoder(vocabulary), vocabulary["special"]
         self.pattern, self.remember = regex.compile(PATTERN), remember
         self.plain, self.odd = re.compile(PLAIN_PATTERN), re.compile(NOT_PLAIN)
@@ -294,5 +294,6 @@ def _over(docs: DataFrame, path: str, id_col: str, text_col: str, batch_chars: i
                     [ids.slice(start, end - start), *(pa.array([of(c, e) for e in encoded], kind) for _, kind, of in columns)],
                     names=["doc_id", *(name for name, _, _ in columns)])
                 start = end
+        c.known = {}  # the worker lives on; the words of this task need not
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(task, schema)

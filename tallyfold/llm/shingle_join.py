@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.common import LOWER, Powers, byte_table, mix, prefix_hash, slice_hash, text_chunks, word_spans
 from tallyfold.operators.components import connected_components
-from tallyfold.session import stage_table
+from tallyfold.session import release_shuffles, stage_table
 
 LETTERS = byte_table(10)
 ZONE = 4 / 3  # the share of the hash space whose shingles are counted over all documents, in prefix lengths
@@ -155,17 +155,21 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, rounds: i
     classes = stage_table(grouped.select(F.monotonically_increasing_id().alias("cid"), "*"), "classes")
     # A set below this size is linked only with equal ones.
     filed = stage_table(_filed(classes.filter(f"{percent} * (n + 1) <= 100 * n").select("cid", "n", "zone", "head"), percent), "filed")
+    release_shuffles(docs.sparkSession)  # each step stands on written tables: what the one before it shuffled may go
     # Whole sets of the classes that share a bucket with another one.
     some_id = F.coalesce("doc_id", F.lit(SIGN)).alias("doc_id")
     wanted = filed.select("cid").distinct().join(classes.select("cid", some_id, "s1", "s2"), "cid")
     texts = source.select(some_id, "text").join(wanted.hint("merge"), "doc_id").select("cid", "s1", "s2", "text")
     sets = stage_table(texts.mapInArrow(_class_sets(k), "cid long, head array<long>"), "sets")
+    del texts
+    release_shuffles(docs.sparkSession)
 
     crowd = filed.filter(F.col("held") > CROWD).select("cid").distinct()
     again = sets.join(stage_table(crowd, "crowd").hint("merge"), "cid")
     again = again.dropDuplicates(["cid"]).select("cid", F.size("head").cast("long").alias("n"), F.size("head").cast("long").alias("zone"), "head")
     again = stage_table(again, "crowded-sets")
     crowded = stage_table(_filed(again, percent), "crowded")
+    release_shuffles(docs.sparkSession)
     entries = filed.filter(F.col("held") <= CROWD).unionByName(crowded.withColumn("token", F.xxhash64("token", F.lit(2)))).drop("held")
 
     nodes = filed.select(F.col("cid").alias("node")).distinct()
