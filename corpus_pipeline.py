@@ -1,7 +1,13 @@
-"""A corpus pipeline: five stages over documents, each written as Parquet and read again by the next."""
+"""A corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
+
+A stage first removes the intermediate tables that earlier ones have staged: their results are written by then. So the rows
+given to a stage must have been written, not merely planned.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,18 +18,20 @@ from tallyfold.llm.decontaminate import contaminated
 from tallyfold.llm.exact_radix import exact_groups, squeeze
 from tallyfold.llm.shingle_join import jaccard_components
 from tallyfold.llm.toxic_gru import score
-from tallyfold.session import stage_table
+from tallyfold.session import drop_staged, shared_folder
 
 NO_ID = -(1 << 63)
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.7. The network learns from the labelled rows of the tables in ``sf_dir``."""
+    drop_staged(spark)
     return score(docs, toxicity(spark, sf_dir), name="toxic_score", whole_rows=True).filter("toxic_score < 0.7").drop("toxic_score")
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of texts that are equal but for white space: the longest, then that of the smallest id."""
+    drop_staged(spark)
     kept = exact_groups(docs).filter("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("stay_id"), "text_sha256", "n_points").distinct()
     keyed = docs.select(*docs.columns, F.coalesce("doc_id", F.lit(NO_ID)).alias("stay_id"),
                         F.sha2(squeeze(F.col("text")), 256).alias("text_sha256"), F.coalesce(F.char_length("text"), F.lit(0)).alias("n_points"))
@@ -36,17 +44,20 @@ def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document without shingles is a group of its own; rows of one id stay or go together.
     """
+    drop_staged(spark)
     groups = jaccard_components(docs, k=5, percent=80)
     return _without(docs, groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays")).filter("NOT stays"))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item (0.8 of its 5-word shingles)."""
+    drop_staged(spark)
     return _without(docs, contaminated(docs, read(spark, sf_dir, "benchmark")))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document left."""
+    drop_staged(spark)
     return encode_digests(docs, tokenizer_path())
 
 
@@ -71,5 +82,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; each stage's rows are written to the shared folder and read again."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = f"{shared_folder(spark)}/tallyfold/pipeline-{name}-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
