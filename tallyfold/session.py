@@ -59,11 +59,17 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Remove all tables this application has staged. Only for a caller who has written what was made from them."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
-        place = hadoop(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+def staged(spark: SparkSession) -> list[str]:
+    """The tables this application has staged and not removed, in order."""
+    return list(_STAGED.get(spark.sparkContext.applicationId, []))
+
+
+def drop_staged(spark: SparkSession, paths: list[str]) -> None:
+    """Remove staged tables. Only for a caller who has written what was made from them."""
+    hadoop, own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, _STAGED.get(spark.sparkContext.applicationId, [])
+    for path in paths:
+        if path in own:
+            own.remove(path)
+            place = hadoop(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
     release_shuffles(spark)
-
