@@ -1,12 +1,14 @@
 """A corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
 
-A stage first removes the intermediate tables that earlier ones have staged: their results are written by then. So the rows
+A stage first removes the intermediate tables of the stage before it, whose result is written by then. So the rows
 given to a stage must have been written, not merely planned.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,20 +20,35 @@ from tallyfold.llm.decontaminate import contaminated
 from tallyfold.llm.exact_radix import exact_groups, squeeze
 from tallyfold.llm.shingle_join import jaccard_components
 from tallyfold.llm.toxic_gru import score
-from tallyfold.session import drop_staged, shared_folder
+from tallyfold.session import drop_staged, shared_folder, staged
 
 NO_ID = -(1 << 63)
+_LEFT: list[str] = []  # what the last stage staged
 
 
+def _tidy(stage: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """The stage, with the intermediate tables of the stage before it removed."""
+
+    @functools.wraps(stage)
+    def tidied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_staged(spark, _LEFT)
+        before = len(staged(spark))
+        out = stage(spark, docs, sf_dir)
+        _LEFT[:] = staged(spark)[before:]
+        return out
+
+    return tidied
+
+
+@_tidy
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below 0.7. The network learns from the labelled rows of the tables in ``sf_dir``."""
-    drop_staged(spark)
     return score(docs, toxicity(spark, sf_dir), name="toxic_score", whole_rows=True).filter("toxic_score < 0.7").drop("toxic_score")
 
 
+@_tidy
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of texts that are equal but for white space: the longest, then that of the smallest id."""
-    drop_staged(spark)
     kept = exact_groups(docs).filter("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("stay_id"), "text_sha256", "n_points").distinct()
     keyed = docs.select(*docs.columns, F.coalesce("doc_id", F.lit(NO_ID)).alias("stay_id"),
                         F.sha2(squeeze(F.col("text")), 256).alias("text_sha256"), F.coalesce(F.char_length("text"), F.lit(0)).alias("n_points"))
@@ -39,25 +56,25 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keyed.join(kept.hint("merge"), keys, "left_semi").dropDuplicates(keys).drop(*keys)
 
 
+@_tidy
 def dissimilar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of 0.8 or more over 5-word shingles: the smallest id.
 
     A document without shingles is a group of its own; rows of one id stay or go together.
     """
-    drop_staged(spark)
     groups = jaccard_components(docs, k=5, percent=80)
     return _without(docs, groups.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stays")).filter("NOT stays"))
 
 
+@_tidy
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item (0.8 of its 5-word shingles)."""
-    drop_staged(spark)
     return _without(docs, contaminated(docs, read(spark, sf_dir, "benchmark")))
 
 
+@_tidy
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document left."""
-    drop_staged(spark)
     return encode_digests(docs, tokenizer_path())
 
 
