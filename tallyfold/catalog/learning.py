@@ -66,12 +66,12 @@ def logistic_regression(t: Tables) -> DataFrame:
 
 @query("calibrated_svc")
 def calibrated_svc(t: Tables) -> DataFrame:
-    return _class_run(t, "Linear SVC", 4, max_iter=20)
+    return _class_run(t, "Linear SVC", 4)
 
 
 @query("calibrated_svc_isotonic")
 def calibrated_svc_isotonic(t: Tables) -> DataFrame:
-    return _class_run(t, "Linear SVC", 4, method="isotonic", max_iter=20)
+    return _class_run(t, "Linear SVC", 4, method="isotonic")
 
 
 @query("decision_tree")
@@ -81,27 +81,27 @@ def decision_tree(t: Tables) -> DataFrame:
 
 @query("random_forest")
 def random_forest(t: Tables) -> DataFrame:
-    return _class_run(t, "Random Forest", 3, numTrees=20, maxDepth=6)
+    return _class_run(t, "Random Forest", 3)
 
 
 @query("adaboost")
 def adaboost(t: Tables) -> DataFrame:
-    return _class_run(t, "AdaBoost", 1, n=10)
+    return _class_run(t, "AdaBoost", 1)
 
 
 @query("boosted_depthwise")
 def boosted_depthwise(t: Tables) -> DataFrame:
-    return _class_run(t, "Boosted Trees (depth-wise)", 1, maxIter=8)
+    return _class_run(t, "Boosted Trees (depth-wise)", 1)
 
 
 @query("boosted_leafy")
 def boosted_leafy(t: Tables) -> DataFrame:
-    return _class_run(t, "Boosted Trees (leafy)", 1, maxIter=8)
+    return _class_run(t, "Boosted Trees (leafy)", 1)
 
 
 @query("boosted_slow")
 def boosted_slow(t: Tables) -> DataFrame:
-    return _class_run(t, "Boosted Trees (slow)", 1, maxIter=8)
+    return _class_run(t, "Boosted Trees (slow)", 1)
 
 
 @query("resampled_training")
@@ -187,22 +187,22 @@ def elastic_net_regression(t: Tables) -> DataFrame:
 
 @query("tree_regression")
 def tree_regression(t: Tables) -> DataFrame:
-    return _amount_run(t, "Decision Tree", 6, maxDepth=8)
+    return _amount_run(t, "Decision Tree", 6)
 
 
 @query("forest_regression")
 def forest_regression(t: Tables) -> DataFrame:
-    return _amount_run(t, "Random Forest", 7, numTrees=10, maxDepth=6)
+    return _amount_run(t, "Random Forest", 7)
 
 
 @query("adaboost_regression")
 def adaboost_regression(t: Tables) -> DataFrame:
-    return _amount_run(t, "AdaBoost", 1, n=8)
+    return _amount_run(t, "AdaBoost", 1)
 
 
 @query("boosted_regression")
 def boosted_regression(t: Tables) -> DataFrame:
-    return _amount_run(t, "Boosted Trees (depth-wise)", 4, maxIter=8)
+    return _amount_run(t, "Boosted Trees (depth-wise)", 4)
 
 
 @query("linear_regression_runs")
@@ -266,10 +266,10 @@ def permutation_importance(t: Tables) -> DataFrame:
 @query("tree_importance")
 def tree_importance(t: Tables) -> DataFrame:
     df = assemble(rows(t), NUMBERS)
-    return interpret.tree_importance(models.fit_forest(df, "y", numTrees=10, maxDepth=6), t.spark, NUMBERS)
+    return interpret.tree_importance(models.fit_forest(df, "y"), t.spark, NUMBERS)
 
 
 @query("calibrated_importance")
 def calibrated_importance(t: Tables) -> DataFrame:
     df = assemble(rows(t), NUMBERS)
-    return interpret.calibrated_importance(models.fit_calibrated_svc(df, "id", "y", max_iter=10), df, NUMBERS)
+    return interpret.calibrated_importance(models.fit_calibrated_svc(df, "id", "y"), df, NUMBERS)

@@ -176,3 +176,25 @@ def test_balanced_weights_reach_the_fits(spark):
     fit = X.classifiers("y", "id")["Logistic Regression"]
     runs = X.run_model(plan, "weighted", lambda t: fit(t, weight="weight"), prepare, "e", "y", splits=["validation"])
     assert runs.filter("parent_run_id IS NOT NULL").count() == 1
+
+
+def test_registered_models_run_their_defaults(monkeypatch):
+    from tallyfold.catalog import learning
+    seen = {}
+    for fn in ("_class_run", "_amount_run"):
+        monkeypatch.setattr(learning, fn, lambda t, name, number=0, resampler="none", **params: seen.update({t: params}))
+    monkeypatch.setattr(learning, "rows", lambda t: t)
+    monkeypatch.setattr(learning, "assemble", lambda df, cols: df)
+    for fn in ("fit_forest", "fit_calibrated_svc"):
+        monkeypatch.setattr(learning.models, fn, lambda df, *columns, **params: seen.update({df: params}))
+    for fn in ("tree_importance", "calibrated_importance"):
+        monkeypatch.setattr(learning.interpret, fn, lambda *a: None)
+
+    class Named(str):
+        spark = None
+
+    names = ["random_forest", "adaboost", "boosted_depthwise", "boosted_leafy", "boosted_slow", "calibrated_svc", "calibrated_svc_isotonic",
+             "calibrated_importance", "tree_regression", "forest_regression", "tree_importance", "adaboost_regression", "boosted_regression"]
+    for name in names:
+        getattr(learning, name)(Named(name))
+    assert seen == {n: {"method": "isotonic"} if n == "calibrated_svc_isotonic" else {} for n in names}
