@@ -54,6 +54,13 @@ def test_held_out_accuracy(spark, query, label, least):
     assert n > 500 and good >= least and 0 <= low and high <= 1
 
 
+def test_held_out_recall_in_every_language(spark):
+    rows = QUERIES["op5_bigru_toxicity"](spark, FOLDER).filter("held_out").join(spark.read.parquet(f"{FOLDER}/labels.parquet").filter("toxic = 1"), "doc_id") \
+        .join(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    recall = {r.lang: r.found for r in rows.groupBy("lang").agg(F.avg("predicted").alias("found")).collect()}
+    assert len(recall) == 4 and min(recall.values()) >= 0.75, recall
+
+
 def test_edge_cases(spark):
     labels = spark.createDataFrame([(5, 1), (6, 0), (6, 1), (None, 1), (7, None)], "doc_id long, label int")
     net = toxic_gru.train(edge(spark), labels, rounds=3)
