@@ -13,14 +13,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SITE_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 # The method's own rules for what no site rule covers: (action, regular expression over host and path).
-# A rule's literal tokens are the letters-and-digits words of ``tokens``; all of them must be in a url that fits.
+# A rule's literal tokens are the letters-and-digits words of ``tokens``; all of them must be in a url that fits. A rule with
+# alternatives has a set of tokens for each, split by ``|``: all tokens of one of the sets must be in a url that fits.
 PATTERN_RULES = (
     ("block", r"(^|\.)casino-[^/]*\.", "casino"),
     ("block", r"(^|\.)[^/.]*-bets\.", "bets"),
     ("block", r"(^|\.)cheap-pills\.", "cheap pills"),
     ("block", r"(^|\.)ads-track\.", "ads track"),
     ("block", r"(^|\.)[^/]*-win\.[^/]*/", "win"),
-    ("block", r"/(popunder|adserver)/", "popunder"),
+    ("block", r"/(popunder|adserver)/", "popunder|adserver"),
 )
 
 
@@ -50,7 +51,7 @@ def judge_urls(pages: DataFrame, site_rules: Sequence[tuple[str, str]] = SITE_RU
                url_col: str = "url") -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, pattern (the method's rule that fired), n_tested.
 
-    Every rule is filed under the one of its literal tokens that is in fewest urls; token counts cover all urls. The
+    Every rule is filed, for each of its alternatives, under the literal token that is in fewest urls; token counts cover all urls. The
     tokens of a url fetch the rules filed under them, and only those run their expression. The rule table is made from
     the arguments, so its size is theirs and never follows the pages. Rows are only exploded into the tokens that index
     some rule, so a token of every url costs nothing unless a rule has no other.
@@ -63,24 +64,24 @@ def judge_urls(pages: DataFrame, site_rules: Sequence[tuple[str, str]] = SITE_RU
     host, path = host_and_path(F.col(url_col))
     urls = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path")) \
         .withColumn("place", F.concat("host", "path"))
-    rules = [(i, "site", action, text, site_pattern(text), [t for t in _literals(text)])
+    rules = [(i, "site", action, text, site_pattern(text), [_literals(text)])
              for i, (action, text) in enumerate(site_rules)]
-    rules += [(len(rules) + i, "pattern", action, pattern, pattern, tokens.split())
+    rules += [(len(rules) + i, "pattern", action, pattern, pattern, [way.split() for way in tokens.split("|")])
               for i, (action, pattern, tokens) in enumerate(pattern_rules)]
-    table = spark.createDataFrame(rules, "rule_no int, kind string, action string, rule string, regex string, tokens array<string>")
-    literal = table.select("rule_no", F.explode("tokens").alias("token"))
-    wanted = sorted({t for r in rules for t in r[5]})
+    table = spark.createDataFrame(rules, "rule_no int, kind string, action string, rule string, regex string, ways array<array<string>>")
+    literal = table.select("rule_no", F.posexplode("ways").alias("way", "tokens")).select("rule_no", "way", F.explode("tokens").alias("token"))
+    wanted = sorted({t for r in rules for way in r[5] for t in way})
     known = F.array(*[F.lit(t) for t in wanted])
     urls = urls.withColumn("tokens", F.array_intersect(words_of(F.col("place")), known))
     counts = urls.select(F.explode("tokens").alias("token")).groupBy("token").count()
     rarest = (literal.join(counts, "token", "left")
-              .groupBy("rule_no").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token")).alias("r"))
+              .groupBy("rule_no", "way").agg(F.min(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "token")).alias("r"))
               .select("rule_no", F.col("r.token").alias("token")))
     by_token = {r["token"]: r["rules"] for r in
-                rarest.groupBy("token").agg(F.collect_list("rule_no").alias("rules")).collect()}  # at most one row a rule
+                rarest.groupBy("token").agg(F.collect_set("rule_no").alias("rules")).collect()}  # at most one row an alternative
     fetch = F.create_map(*[x for t, nos in sorted(by_token.items()) for x in (F.lit(t), F.array(*map(F.lit, sorted(nos))))]) \
         if by_token else F.create_map().cast("map<string,array<int>>")
-    nos = F.flatten(F.transform(F.array_intersect("tokens", F.map_keys(fetch)), lambda t: fetch[t]))
+    nos = F.array_distinct(F.flatten(F.transform(F.array_intersect("tokens", F.map_keys(fetch)), lambda t: fetch[t])))
     urls = urls.withColumn("nos", nos)
     fits = [(r, F.array_contains("nos", r[0]) & F.col("place").rlike(r[4])) for r in rules]
     site = sorted((x for x in fits if x[0][1] == "site"), key=lambda x: -len(x[0][3]))

@@ -36,3 +36,13 @@ def test_only_fetched_rules_are_tested(spark):
     pages = spark.createDataFrame([(i, f"http://h{i}.example.com/en/{i}", "x", 1) for i in range(20)] + [(99, "http://a.net/", "x", 1)], SCHEMA)
     tested = {r.page_id: r.n_tested for r in judge_urls(pages).collect()}
     assert tested[99] >= 1 and tested[0] <= 2
+
+
+def test_every_alternative_of_a_rule_fires(spark):
+    urls = ["http://x.com/adserver/1", "http://x.com/popunder/1", "http://x.com/a/popunder/adserver/", "http://x.com/adserver", "http://adserver/x",
+            "http://x.com/ADSERVER/1", "http://x.com/popunder/adserver/?"] + ["http://h.com/popunder"] * 5
+    for own in (urls, urls[:1], urls[1:2]):
+        pages = spark.createDataFrame([(i, u, "x", 1) for i, u in enumerate(own)], SCHEMA)
+        got = judge_urls(pages).collect()
+        assert [tuple(r)[:6] for r in got] == [(i, *judge(u)) for i, u in enumerate(own)]
+        assert all(r.n_tested <= 2 for r in got)
