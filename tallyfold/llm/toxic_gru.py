@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tallyfold.llm.common import LOWER, Powers, byte_table, prefix_hash, slice_hash, text_chunks
 
-WIDTH, STRIDE = 64, 48  # words of a window, and words between the starts of neighbouring windows
+WIDTH, STRIDE = 64, 32  # words of a window, and words between the starts of neighbouring windows (at most half a window)
 UNITS, DIM, CHARS = 8, 8, 256  # units a direction, size of an input vector, buckets of word beginnings and of endings
 LETTERS = byte_table(5)
 WORD_BYTE = np.zeros(256, bool)

@@ -47,6 +47,13 @@ def test_windows_overlap_and_cover():
         assert seen == set(range(first[d], first[d + 1])) and (doc == d).any()
 
 
+def test_half_a_window_is_seen_whole():
+    doc, start, size = toxic_gru.windows(np.array([0, 500, 563, 1200]))
+    for d, (a, b) in enumerate([(0, 500), (500, 563), (563, 1200)]):
+        for at in range(a, b - 32 + 1):
+            assert ((start <= at) & (start + size >= at + 32) & (doc == d)).any(), (d, at)
+
+
 @pytest.mark.parametrize("query,label,least", [("op3_pu_quality", "quality", 0.95), ("op5_bigru_toxicity", "toxic", 0.93)])
 def test_held_out_accuracy(spark, query, label, least):
     rows = QUERIES[query](spark, FOLDER).filter("held_out").join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id")
