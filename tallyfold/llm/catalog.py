@@ -13,6 +13,7 @@ from tallyfold.llm.common import held_out, read
 from tallyfold.llm.decontaminate import contaminated
 from tallyfold.llm.debruijn import remove_repeats
 from tallyfold.llm.exact_radix import exact_groups
+from tallyfold.llm.fair_mix import fair_queue
 from tallyfold.llm.shingle_join import jaccard_components
 from tallyfold.llm.suffix_dedup import remove_repeated_bytes
 from tallyfold.llm.toxic_gru import score, train
@@ -132,3 +133,27 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     return pii_crf.detect(docs, pii_crf.train(docs))
+
+
+@query("op11_fair_queue_mix", r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS place FROM documents),
+q AS (SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY place, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING))::BIGINT AS done FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS nth FROM d GROUP BY source),
+w AS (SELECT *, (nth - 1) % 3 + 1 AS weight, 3 * source_size AS cap, (sum(source_size) OVER ())::BIGINT AS budget FROM s),
+r AS (SELECT *, (budget - coalesce(sum(cap) OVER (ORDER BY cap / weight RANGE UNBOUNDED PRECEDING EXCLUDE TIES) - cap, 0))::BIGINT AS rest,
+             (sum(weight) OVER (ORDER BY cap / weight DESC RANGE UNBOUNDED PRECEDING))::BIGINT AS free FROM w),
+l AS (SELECT max(rest::DOUBLE / free) AS level FROM r WHERE rest::DOUBLE / free <= cap / weight),
+t AS (SELECT w.*, least(weight * level, cap::DOUBLE) AS target FROM w, l),
+e AS (SELECT t.source, nth, size, turn * source_size + done AS position, (turn * source_size + done) / target AS finish
+      FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source, (SELECT unnest([0, 1, 2]) AS turn) WHERE size > 0 AND target > 0),
+c AS (SELECT source, max(position) AS reached
+      FROM (SELECT *, sum(size) OVER (ORDER BY finish, nth, position ROWS UNBOUNDED PRECEDING) AS spent FROM e)
+      WHERE spent <= (SELECT any_value(budget) FROM w) GROUP BY source)
+SELECT doc_id, size, t.source_size, target,
+       size * ((done <= coalesce(reached, 0))::BIGINT + (done + source_size <= coalesce(reached, 0))::BIGINT
+               + (done + 2 * source_size <= coalesce(reached, 0))::BIGINT) AS taken
+FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source LEFT JOIN c ON c.source IS NOT DISTINCT FROM t.source
+""")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return fair_queue(read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
