@@ -14,7 +14,9 @@ from tallyfold.llm.decontaminate import contaminated
 from tallyfold.llm.debruijn import remove_repeats
 from tallyfold.llm.exact_radix import exact_groups
 from tallyfold.llm.fair_mix import fair_queue
+from tallyfold.llm.merkle import lowered, merkle_manifest
 from tallyfold.llm.shingle_join import jaccard_components
+from tallyfold.llm.simplex_kmeans import cluster_vectors
 from tallyfold.llm.suffix_dedup import remove_repeated_bytes
 from tallyfold.llm.toxic_gru import score, train
 from tallyfold.llm.url_rules import PATTERN_RULES, SITE_RULES, judge_urls, site_pattern
@@ -157,3 +159,73 @@ FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source LEFT JOIN c ON c.source
 """)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return fair_queue(read(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values) + ")"
+
+
+@query("op12_midstate_merkle_manifest", rf"""
+WITH RECURSIVE d AS (SELECT *, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: ascii(c)::BIGINT) AS digits FROM documents),
+c AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], digits), lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+                    lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS crc FROM d),
+leaf AS (SELECT doc_id, source, {_leaf_sql("text")} AS leaf, CASE WHEN crc % 5 = 0 THEN
+                {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_leaf_sql("text")} END AS found FROM c),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS id,
+                  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaf),
+node AS (SELECT source, 0 AS level, pos, leaf AS digest, n FROM ranked
+         UNION ALL SELECT source, level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 15) // 16
+         FROM node WHERE n > 1 GROUP BY source, level, pos // 16),
+sub AS (SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1),
+top AS (SELECT 0 AS level, pos, digest, n FROM sub
+        UNION ALL SELECT level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 15) // 16 FROM top WHERE n > 1 GROUP BY level, pos // 16),
+-- one forest: levels of the sources first, those of the top from 100 on, under one key
+forest AS (SELECT coalesce('s' || source, 'null') AS tree, level, pos, digest, n FROM node
+           UNION ALL SELECT 'top', 100 + level, pos, digest, n FROM top),
+walk AS (SELECT id, coalesce('s' || source, 'null') AS tree, 0 AS level, pos, found AS folded, '' AS seen, n FROM ranked
+         UNION ALL
+         SELECT * FROM (
+           SELECT w.id, any_value(w.tree), any_value(w.level) + 1, any_value(w.pos) // 16,
+                  sha256(string_agg(CASE WHEN f.pos = w.pos THEN w.folded ELSE f.digest END, '' ORDER BY f.pos)),
+                  any_value(w.seen) || coalesce(string_agg(f.digest, '' ORDER BY f.pos) FILTER (f.pos <> w.pos), ''), (any_value(w.n) + 15) // 16
+           FROM walk w JOIN forest f ON f.tree = w.tree AND f.level = w.level AND f.pos // 16 = w.pos // 16 WHERE w.n > 1 GROUP BY w.id
+           UNION ALL
+           SELECT w.id, 'top', 100, s.pos, w.folded, w.seen, s.n FROM walk w JOIN sub s ON w.tree = coalesce('s' || s.source, 'null')
+           WHERE w.n = 1 AND w.level < 100)),
+done AS (SELECT id, folded, seen FROM walk WHERE n = 1 AND level >= 100)
+SELECT w.doc_id, w.leaf, s.digest AS subroot, t.digest AS root, sha256(d.seen) AS proof_sha256, d.folded AS folded_root, d.folded = t.digest AS verified
+FROM ranked w JOIN done d USING (id) JOIN sub s ON s.source IS NOT DISTINCT FROM w.source, (SELECT digest FROM top WHERE n = 1) t
+""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    altered = F.when(held_out(F.col("doc_id"), 5, 0), lowered(F.col("text")))
+    return merkle_manifest(docs, altered)
+
+
+def _kmeans_sql(rounds: int) -> str:
+    square = "list_sum(list_transform(list_zip(v.q, c.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS (SELECT v.rid, arg_min(c.c, ({square}, c.c)) AS c FROM v, c{i} c GROUP BY v.rid)")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT c, list((s - ((s % n + n) % n)) // n ORDER BY j) AS q FROM (
+  SELECT c, j, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(q) AS x, generate_subscripts(q, 1) AS j FROM a{i} JOIN v USING (rid)) GROUP BY c, j)
+  GROUP BY c),
+c{i + 1} AS (SELECT c.c, coalesce(m.q, c.q) AS q FROM c{i} c LEFT JOIN m{i} m USING (c))""")
+    return rf"""
+WITH w AS (SELECT vec_id, list_transform(embedding, lambda x: floor(greatest(least(64 * x::DOUBLE, 67108864), -67108864))::BIGINT) AS q FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+v AS (SELECT *, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), q) AS rid FROM w),
+c0 AS (SELECT rid - 1 AS c, q FROM v WHERE rid <= 16),
+{", ".join(steps)},
+e AS (SELECT v.vec_id, c.c AS cluster, {square} AS distance, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+      FROM a{rounds} a JOIN v USING (rid) JOIN c{rounds} c ON c.c = a.c)
+SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256 FROM e
+"""
+
+
+@query("op13_simplex_centroids", _kmeans_sql(3))
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster_vectors(read(spark, folder, "embeddings")).drop("compared")
