@@ -4,27 +4,24 @@ from __future__ import annotations
 
 import numpy as np
 
-from tallyfold.llm.common import Powers, mix, slice_hash, sliding_min
+from tallyfold.llm.common import Slices, sliding_min
 
-PLACE = np.uint64((1 << 28) - 1)
+PLACE = np.uint64((1 << 31) - 1)  # a text in Spark has fewer bytes than this
 
 
-def window_runs(sums: np.ndarray, off: np.ndarray, window: int, k: int, powers: Powers, anchors_only: bool = False):
-    """For a chunk of documents: anchor hash, content hash, document, first window and number of windows of each run.
+def window_runs(slices: Slices, off: np.ndarray, window: int, k: int):
+    """For a chunk of documents: anchor hash, first window, document and number of windows of each run.
 
-    With ``anchors_only`` just the first of these, as a tuple of one.
-
-    ``sums`` are the prefix sums of :func:`common.prefix_hash` over the units (bytes or words), ``off`` the first unit of
-    each document. The anchor of a window is the smallest hash of the k units long pieces in it, the leftmost if several
-    are equal; so equal windows have equal anchors at equal places. A run is a stretch of neighbouring windows with one
-    anchor. Its content hash covers all units of the stretch. Every window inside one document is in exactly one run.
+    ``slices`` holds the units (bytes or words), ``off`` the first unit of each document. The anchor of a window is the
+    smallest hash of the k units long pieces in it, the leftmost if several are equal in their upper half; so equal windows
+    have equal anchors at equal places. A run is a stretch of neighbouring windows with one anchor. Every window inside
+    one document is in exactly one run.
     """
-    n = len(sums) - 1
+    n = len(slices)
     none = np.zeros(0, np.int64)
     if n < window:
-        return (none.astype(np.uint64),) if anchors_only else (none.astype(np.uint64), none.astype(np.uint64), none, none, none)
-    _, down = powers.need(n + 1)
-    pieces = mix((sums[k:] - sums[:-k]) * down[: n - k + 1])
+        return none.astype(np.uint64), none, none, none
+    pieces = slices.every(k)
     least = sliding_min((pieces & ~PLACE) | np.arange(len(pieces), dtype=np.uint64), window - k + 1)
     valid = np.zeros(len(least) + 2, bool)
     valid[1:-1] = True
@@ -37,9 +34,5 @@ def window_runs(sums: np.ndarray, off: np.ndarray, window: int, k: int, powers:
     new[1:] = least[1:] != least[:-1]
     first = np.flatnonzero(inside & (new | ~valid[:-2]))
     place = (least[first] & PLACE).astype(np.int64)
-    if anchors_only:
-        return (pieces[place],)
     last = np.flatnonzero(inside & (np.append(new[1:], True) | ~valid[2:]))
-    content = slice_hash(sums, first, last + window, powers)
-    doc = np.searchsorted(off, first, "right") - 1
-    return pieces[place], content, doc, first - off[doc], last - first + 1
+    return pieces[place], first, np.searchsorted(off, first, "right") - 1, last - first + 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import types
 from collections.abc import Iterator
@@ -52,7 +53,11 @@ def text_chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int
 
 
 def byte_table(seed: int) -> np.ndarray:
-    """A random 64-bit value for each byte: the letters of a polynomial hash."""
+    """A random 64-bit value for each byte: the letters of a polynomial hash.
+
+    Polynomials modulo 2^64 agree on some pairs of different words of 1,024 bytes and more, whatever the base. They number the
+    features of the text classifiers; where equality decides a result, :class:`Slices` or :func:`digests` are used.
+    """
     return np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -116,6 +121,80 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _join(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """One 64-bit value from two, scrambled on both sides of the sum."""
+    x = left ^ (left >> np.uint64(32))
+    x *= np.uint64(0x9FB21C651E98DF25)
+    x += right
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+class Slices:
+    """64-bit hashes of slices of a sequence; equal slices give equal hashes wherever they lie.
+
+    Level j holds a hash of the 2^j units from each place, joined from two of the level below. Every join scrambles, so
+    there is no sum or power whose identities could make different slices agree. Up to eight bytes are packed, not hashed.
+    A slice is named by the first and the last block of the largest level that fits, and its length. One level is held at
+    a time, so ask for short slices first.
+    """
+
+    def __init__(self, units: np.ndarray) -> None:
+        self._units, self._packed = units, units.dtype == np.uint8
+        self._at, self._level = 0, units.astype(np.uint64, copy=False)
+
+    def __len__(self) -> int:
+        return len(self._units)
+
+    def level(self, j: int) -> np.ndarray:
+        if j < self._at:
+            self._at, self._level = 0, self._units.astype(np.uint64, copy=False)
+        while self._at < j:
+            half = 1 << self._at
+            left, right = self._level[:-half], self._level[half:]
+            self._level = left | (right << np.uint64(8 * half)) if self._packed and self._at < 3 else _join(left, right)
+            self._at += 1
+        return self._level
+
+    def every(self, k: int) -> np.ndarray:
+        """Hashes of the k units from each place."""
+        j = k.bit_length() - 1
+        blocks, n = self.level(j), max(0, len(self._units) - k + 1)
+        return mix(blocks[:n] if k == 1 << j else _join(blocks[:n], blocks[k - (1 << j):][:n]))
+
+    def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the slices [start, end)."""
+        size = ends - starts
+        level = np.frexp(size.astype(np.float64))[1] - 1  # of an empty slice -1
+        out = np.zeros(len(size), np.uint64)
+        for j in np.unique(level).tolist():
+            if j >= 0:
+                rows, blocks = np.flatnonzero(level == j), self.level(j)
+                out[rows] = _join(blocks[starts[rows]], blocks[ends[rows] - (1 << j)])
+        return mix(out + size.astype(np.uint64))
+
+
+def joined_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All words with one space after each, and where each begins; an extra place at the end."""
+    size = ends - starts
+    begin = np.concatenate([[0], np.cumsum(size + 1)])
+    out = np.full(begin[-1], 0x20, np.uint8)
+    nth = np.repeat(np.arange(len(size)), size)
+    step = np.arange(len(nth)) - np.repeat(np.cumsum(size) - size, size)
+    out[begin[nth] + step] = data[starts[nth] + step]
+    return out.tobytes(), begin
+
+
+def digests(data: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit cryptographic digests of byte slices as two columns: what has equal digests is taken for equal."""
+    view, blake = memoryview(data), hashlib.blake2b
+    raw = b"".join([blake(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), stops.tolist())])
+    both = np.frombuffer(raw, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of each ``width`` consecutive values, in about log2(width) passes."""
     done, out = 1, values

@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.anchors import window_runs
-from tallyfold.llm.common import Powers, byte_table, prefix_hash, slice_hash, text_chunks, word_spans
+from tallyfold.llm.common import Slices, digests, joined_words, text_chunks, word_spans
 from tallyfold.session import stage_table
 
-LETTERS = byte_table(2)
 NO_ID = -(1 << 63)
 
 
@@ -24,52 +23,50 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def _word_sums(data: np.ndarray, off: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix sums over the hashes of all words, and the first word of each document."""
+def _word_rows(data: np.ndarray, off: np.ndarray):
+    """Hashes of all words, the first word of each document, and the words themselves as :func:`common.joined_words`."""
     starts, ends, first = word_spans(data, off)
-    if not len(starts):
-        return np.zeros(1, np.uint64), first
-    return prefix_hash(slice_hash(prefix_hash(LETTERS[data], powers), starts, ends, powers), powers), first
+    return Slices(Slices(data).hash(starts, ends)), first, *joined_words(data, starts, ends)
 
 
 def _path_rows(window: int, k: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             for a, b, data, off in text_chunks(batch.column(2)):
-                sums, first = _word_sums(data, off, powers)
-                anchor, content, doc, start, count = window_runs(sums, first, window, k, powers)
+                words, word_off, joined, begin = _word_rows(data, off)
+                anchor, first, doc, count = window_runs(words, word_off, window, k)
+                content = digests(joined, begin[first], begin[first + count + window - 1] - 1)
                 own = pa.array(doc + a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), batch.column(0).take(own),
-                     batch.column(1).take(own), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))],
-                    names=["anchor", "content", "doc_id", "mark", "start", "edges"])
+                    [pa.array(anchor.view(np.int64)), *map(pa.array, content), batch.column(0).take(own), batch.column(1).take(own),
+                     pa.array((first - word_off[doc]).astype(np.int32)), pa.array(count.astype(np.int32))],
+                    names=["anchor", "words1", "words2", "doc_id", "mark", "start", "edges"])
     return task
 
 
-PATHS = "anchor long, content long, doc_id long, mark long, start int, edges int"
+PATHS = "anchor long, words1 long, words2 long, doc_id long, mark long, start int, edges int"
 
 
 def _edge_rows(window: int):
-    """Task: every single edge (window) of the wanted paths: path and place in it, and the hash of its words."""
+    """Task: every single edge (window) of the wanted paths: path and place in it, and the digest of its words."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             wanted = batch.column(3)
             for a, b, data, off in text_chunks(batch.column(2)):
-                sums, first = _word_sums(data, off, powers)
+                starts, ends, word_off = word_spans(data, off)
+                joined, begin = joined_words(data, starts, ends)
                 own = wanted.slice(a, b - a)
                 flat, sizes = own.flatten(), np.diff(own.offsets.to_numpy())
-                start, edges, times = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3, 4))
+                start, edges, times = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (3, 4, 5))
                 doc = np.repeat(np.arange(b - a), sizes)
                 path = np.repeat(np.arange(len(start)), edges)
                 place = np.arange(len(path)) - np.repeat(np.cumsum(edges) - edges, edges)
-                at = first[doc[path]] + start[path] + place
+                at = word_off[doc[path]] + start[path] + place
+                edge = digests(joined, begin[at], begin[at + window] - 1)
                 take = pa.array(path)
                 yield pa.RecordBatch.from_arrays(
-                    [flat.field(0).take(take), flat.field(1).take(take), pa.array(place.astype(np.int32)),
-                     pa.array(times[path]), pa.array(slice_hash(sums, at, at + window, powers).view(np.int64))],
-                    names=["anchor", "content", "place", "times", "edge"])
+                    [*(flat.field(i).take(take) for i in range(3)), pa.array(place.astype(np.int32)), pa.array(times[path]), *map(pa.array, edge)],
+                    names=["anchor", "words1", "words2", "place", "times", "edge1", "edge2"])
     return task
 
 
@@ -86,24 +83,28 @@ def repeated_spans(docs: DataFrame, window: int = 35, k: int = 8, id_col: str =
     * If contents differ, the graph branches there. Each distinct content stands for all its copies, is unpacked into its
       edges, and edges are counted with the copies as weights. Coordinates of the copies then take over the verdict.
 
-    Counts are combined before each shuffle; no group of rows is gathered in one task, and the joins back can be split.
+    Paths and edges are told apart by a cryptographic digest of 128 bits over their words, taken at the source
+    coordinates; the hashes behind the minimizers only decide which of them meet. Counts are combined before each shuffle;
+    no group of rows is gathered in one task, and the joins back are on written tables, so that they can be split.
     """
     source = keyed(docs, id_col, text_col)
     paths = source.mapInArrow(_path_rows(window, k), PATHS)
-    seen = paths.groupBy("anchor").agg(F.count("*").alias("n"), F.min("content").alias("low"), F.max("content").alias("high")) \
-        .filter("n > 1").select("anchor", (F.col("low") != F.col("high")).alias("branches"))
+    seen = paths.groupBy("anchor").agg(F.count("*").alias("n"), *[f(c).alias(f"{c}_{f.__name__}") for c in ("words1", "words2") for f in (F.min, F.max)]) \
+        .filter("n > 1").select("anchor", F.expr("words1_min != words1_max OR words2_min != words2_max").alias("branches"))
     # Written first: a join on a plain table, not on an aggregate, is one whose hot minimizers can be split.
     paths = stage_table(paths.join(stage_table(seen, "seen").hint("merge"), "anchor"), "paths")
     plain = paths.filter("NOT branches").select("doc_id", "mark", "start", (F.col("start") + F.col("edges") + (window - 1)).alias("stop"))
     forked = paths.filter("branches")
-    kinds = forked.groupBy("anchor", "content").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "mark", "start", "edges")).alias("r"))
-    wanted = kinds.select("r.doc_id", "r.mark", F.struct("anchor", "content", "r.start", "r.edges", "times").alias("w")) \
+    same = ["anchor", "words1", "words2"]
+    kinds = forked.groupBy(*same).agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "mark", "start", "edges")).alias("r"))
+    wanted = kinds.select("r.doc_id", "r.mark", F.struct(*same, "r.start", "r.edges", "times").alias("w")) \
         .groupBy("doc_id", "mark").agg(F.collect_list("w").alias("wanted"))
     single = source.join(wanted.hint("merge"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "wanted")
-    single = stage_table(single.mapInArrow(_edge_rows(window), "anchor long, content long, place int, times long, edge long"), "edges")
-    often = single.groupBy("anchor", "edge").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor", "edge")
-    hit = single.join(often.hint("merge"), ["anchor", "edge"]).groupBy("anchor", "content").agg(F.collect_set("place").alias("places"))
-    forks = forked.join(hit.hint("merge"), ["anchor", "content"]).select("doc_id", "mark", "start", F.explode("places").alias("place"))
+    single = stage_table(single.mapInArrow(_edge_rows(window), "anchor long, words1 long, words2 long, place int, times long, edge1 long, edge2 long"), "edges")
+    edge = ["anchor", "edge1", "edge2"]
+    often = stage_table(single.groupBy(*edge).agg(F.sum("times").alias("n")).filter("n > 1").select(*edge), "often")
+    hit = stage_table(single.join(often.hint("merge"), edge).groupBy(*same).agg(F.collect_set("place").alias("places")), "hit")
+    forks = forked.join(hit.hint("merge"), same).select("doc_id", "mark", "start", F.explode("places").alias("place"))
     forks = forks.select("doc_id", "mark", (F.col("start") + F.col("place")).alias("start"), (F.col("start") + F.col("place") + window).alias("stop"))
     return plain.unionAll(forks)
 

@@ -10,11 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import LOWER, Powers, byte_table, mix, prefix_hash, slice_hash, text_chunks, word_spans
+from tallyfold.llm.common import LOWER, Slices, mix, text_chunks, word_spans
 from tallyfold.operators.components import connected_components
 from tallyfold.session import release_shuffles, stage_table
 
-LETTERS = byte_table(10)
 ZONE = 4 / 3  # the share of the hash space whose shingles are counted over all documents, in prefix lengths
 CROWD = 32  # classes in a bucket beyond which they are filed again by the counts of all their shingles
 SIGN = -(1 << 63)
@@ -25,22 +24,17 @@ def prefix_length(n, percent: int):
     return n - -(-n * percent // 100) + 1
 
 
-def document_shingles(data: np.ndarray, off: np.ndarray, k: int, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+def document_shingles(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all word k-grams (A-Z lower-cased) and the document of each; shorter documents give one whole sequence."""
     starts, ends, first = word_spans(data, off)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    word = slice_hash(prefix_hash(LETTERS[LOWER[data]], powers), starts, ends, powers)
+    words = Slices(Slices(LOWER[data]).hash(starts, ends))
     n_words = np.diff(first)
-    odd = np.uint64(0x9FB21C651E98DF25)
-    padded = np.concatenate([word, np.zeros(k, np.uint64)])
-    total = np.zeros(len(word), np.uint64)
     doc = np.repeat(np.arange(len(n_words)), n_words)
-    left = first[1:][doc] - np.arange(len(word))  # words from here to the end of the document
-    for i in range(k):
-        total = (total ^ (total >> np.uint64(31))) * odd + np.where(i < left, padded[i: i + len(word)], np.uint64(i + 1))
-    whole = (left >= k) | ((n_words[doc] < k) & (left == n_words[doc]))
-    return mix(total[whole]), doc[whole]
+    left = first[1:][doc] - np.arange(len(words))  # words from here to the end of the document
+    at = np.flatnonzero((left >= k) | ((n_words[doc] < k) & (left == n_words[doc])))
+    return words.hash(at, at + np.minimum(left[at], k)), doc[at]
 
 
 def _sets(k: int, percent: int, whole: bool):
@@ -48,10 +42,9 @@ def _sets(k: int, percent: int, whole: bool):
     cut = np.uint64(min((1 << 64) - 1, int(ZONE * (100 - percent) / 100 * (1 << 64))))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             for a, b, data, off in text_chunks(batch.column(1)):
-                hashes, doc = document_shingles(data, off, k, powers)
+                hashes, doc = document_shingles(data, off, k)
                 bounds = np.searchsorted(doc, np.arange(b - a + 1))
                 sets = [np.unique(hashes[bounds[i]: bounds[i + 1]]) for i in range(b - a)]
                 size = np.array([len(s) for s in sets], np.int64)

@@ -11,36 +11,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.anchors import window_runs
-from tallyfold.llm.common import Powers, byte_table, prefix_hash, slice_hash, text_chunks
+from tallyfold.llm.common import Slices, digests, text_chunks
 from tallyfold.llm.debruijn import NO_ID, keyed
 from tallyfold.llm.suffix_sort import permuted_common_prefixes, suffix_array
 from tallyfold.session import stage_table
 
-LETTERS = byte_table(19)
-RUNS = "anchor long, content long, doc_id long, mark long, start int, windows int"
+RUNS = "anchor long, bytes1 long, bytes2 long, doc_id long, mark long, start int, windows int"
 
 
 def _run_rows(window: int, k: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             for a, b, data, off in text_chunks(batch.column(2)):
-                anchor, content, doc, start, count = window_runs(prefix_hash(LETTERS[data], powers), off, window, k, powers)
+                anchor, first, doc, count = window_runs(Slices(data), off, window, k)
+                content = digests(data.tobytes(), first, first + count + window - 1)
                 own = pa.array(doc + a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), batch.column(0).take(own),
-                     batch.column(1).take(own), pa.array(start.astype(np.int32)), pa.array(count.astype(np.int32))],
-                    names=["anchor", "content", "doc_id", "mark", "start", "windows"])
+                    [pa.array(anchor.view(np.int64)), *map(pa.array, content), batch.column(0).take(own), batch.column(1).take(own),
+                     pa.array((first - off[doc]).astype(np.int32)), pa.array(count.astype(np.int32))],
+                    names=["anchor", "bytes1", "bytes2", "doc_id", "mark", "start", "windows"])
     return task
 
 
 def _anchor_rows(window: int, k: int):
     """Task: the minimizers of all runs and nothing else, for the first count."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             for _, _, data, off in text_chunks(batch.column(0)):
-                anchor, = window_runs(prefix_hash(LETTERS[data], powers), off, window, k, powers, anchors_only=True)
+                anchor = window_runs(Slices(data), off, window, k)[0]
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64))], names=["anchor"])
     return task
 
@@ -56,53 +54,38 @@ def _piece_rows(window: int, k: int):
     left = window - k - right + 1  # bytes before it that windows of the left piece hold
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             wanted = batch.column(3)
             for a, b, data, off in text_chunks(batch.column(2)):
-                sums = prefix_hash(LETTERS[data], powers)
-                own = wanted.slice(a, b - a)
+                slices, own = Slices(data), wanted.slice(a, b - a)
+                pieces = slices.every(k).view(np.int64)
                 flat, sizes = own.flatten(), np.diff(own.offsets.to_numpy())
                 start, count = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
                 doc = np.repeat(np.arange(b - a), sizes)
                 begin = off[doc] + start
-                # The anchor lies in every window of the run: it is the smallest piece hash there.
                 anchor = flat.field(2).to_numpy(zero_copy_only=False)
-                rows = []
-                for i, (p, n, h) in enumerate(zip(begin.tolist(), count.tolist(), anchor.tolist())):
-                    spots = np.arange(p + n - 1, p + window - k + 1)
-                    hashes = slice_hash_raw(sums, spots, k, powers)
-                    at = int(spots[np.argmax(hashes == np.int64(h))])
+                rows = []  # key from, key to, document, first byte, end byte
+                for p, n, h, d in zip(begin.tolist(), count.tolist(), anchor.tolist(), doc.tolist()):
+                    # The anchor lies in every window of the run: it is the smallest piece hash there.
+                    at = p + n - 1 + int(np.argmax(pieces[p + n - 1: p + window - k + 1] == h))
                     split = min(n, max(0, at - left - p + 1))  # windows before this one hold ``left`` bytes before the anchor
-                    d = int(doc[i])
                     if split:
-                        rows.append((_key(sums, at - left, at + k, powers), d, p - off[d], data[p: p + split - 1 + window].tobytes()))
+                        rows.append((at - left, at + k, d, p, p + split - 1 + window))
                     if split < n:
-                        rows.append((_key(sums, at, at + k + right, powers), d, p + split - off[d], data[p + split: p + n - 1 + window].tobytes()))
-                take = pa.array([a + r[1] for r in rows], pa.int64())
+                        rows.append((at, at + k + right, d, p + split, p + n - 1 + window))
+                key_from, key_to, of, lo, hi = np.array(rows, np.int64).reshape(-1, 5).T
+                take = pa.array(a + of)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), batch.column(0).take(take), batch.column(1).take(take),
-                     pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.binary())],
+                    [pa.array(slices.hash(key_from, key_to).view(np.int64)), batch.column(0).take(take), batch.column(1).take(take),
+                     pa.array((lo - off[of]).astype(np.int32)), pa.array([data[x:y].tobytes() for x, y in zip(lo.tolist(), hi.tolist())], pa.binary())],
                     names=["key", "doc_id", "mark", "start", "bytes"])
     return task
 
 
-def slice_hash_raw(sums: np.ndarray, starts: np.ndarray, k: int, powers: Powers) -> np.ndarray:
-    """The piece hashes of :func:`anchors.window_runs` at some places."""
-    from tallyfold.llm.common import mix
-
-    _, down = powers.need(len(sums))
-    return mix((sums[starts + k] - sums[starts]) * down[starts]).view(np.int64)
-
-
-def _key(sums: np.ndarray, start: int, stop: int, powers: Powers) -> int:
-    return int(slice_hash(sums, np.array([start]), np.array([stop]), powers).view(np.int64)[0])
-
-
 SPANS = "doc_id long, mark long, start int, stop int"
 
 
-def _later_windows(pieces: list[tuple], window: int, powers: Powers) -> list[tuple[int, int, int, int]]:
+def _later_windows(pieces: list[tuple], window: int) -> list[tuple[int, int, int, int]]:
     """Spans of the windows of these pieces that also start earlier in another piece, from one suffix array.
 
     pieces: (doc_id, mark, start, bytes).
@@ -114,7 +97,7 @@ def _later_windows(pieces: list[tuple], window: int, powers: Powers) -> list[tup
     piece = np.repeat(np.arange(len(pieces)), count)
     place = np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count)
     at = begin[piece] + place  # every window, in text order
-    order = suffix_array(text, window, powers)
+    order = suffix_array(text, window)
     is_window = np.zeros(len(text), np.int64)
     is_window[at] = np.arange(1, len(at) + 1)
     nth = is_window[order]
@@ -150,12 +133,11 @@ def _runs(pieces, piece, place, later, window):
 def _shard_rows(window: int, shard_bytes: int):
     """Task: a suffix array over as many whole keys as fill a shard. Pieces come sorted by key."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         shard: list[tuple] = []
         size, last = 0, None
 
         def out() -> pa.RecordBatch:
-            rows = _later_windows(shard, window, powers) if shard else []
+            rows = _later_windows(shard, window) if shard else []
             cols = list(zip(*rows)) or [(), (), (), ()]
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "mark", "start", "stop"])
@@ -172,20 +154,17 @@ def _shard_rows(window: int, shard_bytes: int):
 
 
 def _window_rows(window: int):
-    """Task: each window of a piece by itself, under the hash of its bytes."""
+    """Task: each window of a piece by itself, under the digest of its bytes."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             for i in range(batch.num_rows):
-                data = np.frombuffer(batch.column(4)[i].as_py(), np.uint8)
-                n = len(data) - window + 1
-                begin = np.arange(n)
-                hashes = slice_hash(prefix_hash(LETTERS[data], powers), begin, begin + window, powers).view(np.int64)
-                own = pa.array(np.full(n, i))
+                data = batch.column(4)[i].as_py()
+                begin = np.arange(len(data) - window + 1)
+                own = pa.array(np.full(len(begin), i))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(own), pa.array(hashes), batch.column(1).take(own), batch.column(2).take(own),
-                     pa.array((batch.column(3)[i].as_py() + begin).astype(np.int32))],
-                    names=["key", "bytes_hash", "doc_id", "mark", "start"])
+                    [batch.column(0).take(own), *map(pa.array, digests(data, begin, begin + window)), batch.column(1).take(own),
+                     batch.column(2).take(own), pa.array((batch.column(3)[i].as_py() + begin).astype(np.int32))],
+                    names=["key", "bytes1", "bytes2", "doc_id", "mark", "start"])
     return task
 
 
@@ -194,7 +173,7 @@ def repeated_byte_spans(docs: DataFrame, window: int = 100, k: int = 24, shard_b
     """(doc_id, mark, start, stop): byte stretches covered by ``window``-byte strings that also start earlier.
 
     1. Windows are packed into runs that share a minimizer (:mod:`anchors`). A minimizer seen once cannot repeat.
-    2. Runs with the same bytes: all but the earliest are repeats as a whole. This settles copies, however many.
+    2. Runs with the same bytes (by a cryptographic digest of 128 bits): all but the earliest are repeats as a whole. This settles copies, however many.
     3. Of minimizers with several contents, the earliest run of each content goes to a shard by its surroundings, where a
        suffix array by induced sorting and common prefixes in text order show which windows are equal.
     A key with more than ``crowd`` pieces, each different, does not go to one shard: its windows are counted one by one,
@@ -206,10 +185,11 @@ def repeated_byte_spans(docs: DataFrame, window: int = 100, k: int = 24, shard_b
         .filter("n > 1").select("anchor")
     # Written first: a join on a plain table, not on an aggregate, is one whose hot minimizers can be split.
     runs = stage_table(runs.join(stage_table(seen, "seen").hint("merge"), "anchor"), "runs")
-    kinds = stage_table(runs.groupBy("anchor", "content").agg(
+    same = ["anchor", "bytes1", "bytes2"]
+    kinds = stage_table(runs.groupBy(*same).agg(
         F.count("*").alias("times"), F.min(F.struct("doc_id", "start", "mark", "windows")).alias("r")), "kinds")
-    copied = kinds.filter("times > 1").select("anchor", "content", F.struct("r.doc_id", "r.start").alias("first"))
-    copies = runs.join(copied.hint("merge"), ["anchor", "content"]).filter(F.struct("doc_id", "start") > F.col("first")) \
+    copied = kinds.filter("times > 1").select(*same, F.struct("r.doc_id", "r.start").alias("first"))
+    copies = runs.join(copied.hint("merge"), same).filter(F.struct("doc_id", "start") > F.col("first")) \
         .select("doc_id", "mark", "start", (F.col("start") + F.col("windows") + (window - 1)).alias("stop"))
     many = kinds.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     wanted = kinds.join(stage_table(many, "many").hint("merge"), "anchor").select("r.doc_id", "r.mark", F.struct("r.start", "r.windows", "anchor").alias("w")) \
@@ -222,9 +202,10 @@ def repeated_byte_spans(docs: DataFrame, window: int = 100, k: int = 24, shard_b
     sharded = pieces.filter(F.col("n") <= crowd).select("key", "doc_id", "mark", "start", "bytes") \
         .repartition("key").sortWithinPartitions("key").mapInArrow(_shard_rows(window, shard_bytes), SPANS)
     single = stage_table(pieces.filter(F.col("n") > crowd).select("key", "doc_id", "mark", "start", "bytes").mapInArrow(
-        _window_rows(window), "key long, bytes_hash long, doc_id long, mark long, start int"), "windows")
-    first = single.groupBy("key", "bytes_hash").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    crowded = single.join(first.hint("merge"), ["key", "bytes_hash"]).filter(F.struct("doc_id", "start") > F.col("first")) \
+        _window_rows(window), "key long, bytes1 long, bytes2 long, doc_id long, mark long, start int"), "windows")
+    same = ["key", "bytes1", "bytes2"]
+    first = stage_table(single.groupBy(*same).agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1"), "first")
+    crowded = single.join(first.hint("merge"), same).filter(F.struct("doc_id", "start") > F.col("first")) \
         .select("doc_id", "mark", "start", (F.col("start") + window).alias("stop"))
     return copies.unionAll(sharded).unionAll(crowded)
 

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
-from tallyfold.llm.common import Powers, byte_table, prefix_hash, slice_hash
+from tallyfold.llm.common import Slices
 
-LETTERS = byte_table(9)
 
 
 def _is_small(text: np.ndarray) -> np.ndarray:
@@ -97,7 +96,7 @@ def _order_of_names(names: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def suffix_array(text: np.ndarray, depth: int, powers: Powers | None = None) -> np.ndarray:
+def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of a byte string in order of their first ``depth`` bytes at least.
 
     Leftmost-smaller substrings are sorted by one induction and named; the string of their names, at most half as long,
@@ -116,9 +115,8 @@ def suffix_array(text: np.ndarray, depth: int, powers: Powers | None = None) ->
         number = np.zeros(n, np.int32)
         number[lms] = np.arange(len(lms), dtype=np.int32)
         nth = number[by_piece]
-        powers = powers or Powers()
         stop = np.append(lms[1:].astype(np.int64) + 1, n)
-        digest = slice_hash(prefix_hash(LETTERS[text], powers), lms.astype(np.int64), stop, powers)
+        digest = Slices(text).hash(lms.astype(np.int64), stop)
         size = stop - lms
         new = np.ones(len(lms), bool)
         new[1:] = (digest[nth][1:] != digest[nth][:-1]) | (size[nth][1:] != size[nth][:-1])

@@ -58,3 +58,27 @@ def test_nulls_repeats_and_empty_table(spark):
     kept = {r.kept_text for r in remove_repeats(docs, with_text=True).collect()}
     assert kept == {"", "other words"}
     assert remove_repeats(docs.limit(0)).count() == 0
+
+
+def long_words(n):
+    """Two different words of n letters on which polynomial hashes modulo 2^64 agree."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_long_words_are_told_apart(spark, n):
+    a, b = long_words(n)
+    rows = [(1, " ".join([a] + [f"w{i}" for i in range(34)])), (2, " ".join([b] + [f"w{i}" for i in range(34)])),
+            (3, " ".join([a, b] * 40)), (4, " ".join([a] * 20 + [b] + [a] * 14)), (5, " ".join([a] * 20 + [b] + [a] * 14 + ["end"]))]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)
+    assert sorted((tuple(r) for r in remove_repeats(docs).collect()), key=str) == brute(rows, 35)
+
+
+def test_very_long_text(spark):
+    rng = random.Random(9)
+    body = [f"v{rng.randint(0, 10**6)}" for _ in range(300_000)]
+    rows = [(1, " ".join(body)), (2, " ".join(body[1000:1100])), (3, "x" * 3_000_000)]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)
+    got = {r.doc_id: r.n_removed for r in remove_repeats(docs).collect()}
+    assert got == {1: 100, 2: 100, 3: 0}

@@ -81,3 +81,13 @@ def test_nulls_repeats_and_empty_table(spark):
 
 def test_prefix_length():
     assert [prefix_length(n, 85) for n in (1, 6, 20, 100)] == [1, 1, 4, 16]
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_long_words_are_told_apart(spark, n):
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, a), (2, b), (3, f"{a} x y z"), (4, f"{b} x y z"), (5, f"x {a} {b} {a}"), (6, f"x {a} {a} {b}"), (7, a.upper())]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()), key=str)
+    assert got == brute(rows)

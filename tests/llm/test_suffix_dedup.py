@@ -73,3 +73,26 @@ def test_suffix_array_and_common_prefixes():
             got = permuted_common_prefixes(text, at[1:], at[:-1], 12)
             want = [next((k for k in range(12) if b[i + k] != b[j + k]), 12) for i, j in zip(at[1:], at[:-1])]
             assert got.tolist() == want
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_long_words_are_told_apart(spark, n):
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, a), (2, b), (3, f"{a} {b}"), (4, f"{b} {a}"), (5, b[::-1] + a)]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], SCHEMA)
+    assert sorted((tuple(r) for r in remove_repeated_bytes(docs).collect()), key=str) == brute(rows, 100)
+
+
+def test_slices_tell_contents_apart():
+    from tallyfold.llm.common import Slices
+
+    rng = np.random.default_rng(3)
+    for units in (rng.integers(97, 99, 600).astype(np.uint8), rng.integers(0, 2, 600).astype(np.uint64)):
+        starts = np.repeat(np.arange(500), 12)
+        ends = starts + np.tile([0, 1, 2, 3, 5, 8, 9, 16, 24, 35, 64, 100], 500)
+        found = {}
+        for h, a, b in zip(Slices(units).hash(starts, ends).tolist(), starts, ends):
+            assert found.setdefault(h, units[a:b].tobytes()) == units[a:b].tobytes()
+        assert len(found) == len({units[a:b].tobytes() for a, b in zip(starts, ends)})
+        assert (Slices(units).every(24)[:500] == Slices(units).every(24)[:500]).all()
