@@ -5,6 +5,9 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +41,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _STAGED: dict[str, list[str]] = {}  # application to the tables it has staged
+_RECORD: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The tables staged inside the block, by this thread alone."""
+    paths: list[str] = []
+    token = _RECORD.set(paths)
+    try:
+        yield paths
+    finally:
+        _RECORD.reset(token)
 
 
 def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -49,6 +64,8 @@ def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tallyfold/{label}-{uuid.uuid4().hex}"
     _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if _RECORD.get() is not None:
+        _RECORD.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
