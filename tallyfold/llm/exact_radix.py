@@ -59,10 +59,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ended = [part.filter("grp IS NOT NULL").select("doc_id", "n_points", "text_sha256", F.lit(i).alias("round"), "grp")
              for i, part in enumerate(done)]
     ended = reduce(DataFrame.unionAll, ended)
-    best = ended.groupBy("round", "grp").agg(
+    best = stage_table(ended.groupBy("round", "grp").agg(
         F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("best"),
-        F.count("*").alias("group_size"))
-    copies = ended.join(best, ["round", "grp"]).select(
+        F.count("*").alias("group_size")), "radix-best")
+    copies = ended.join(best.hint("merge"), ["round", "grp"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n_points") == -F.col("best.less"))).alias("kept"),
         "text_sha256", "n_points")
