@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.ordered import running_totals
+from tallyfold.operators.quantiles import interpolated, order_statistics
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -90,30 +90,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] =
                     by: Sequence[str] = ()) -> DataFrame:
     """Linearly interpolated quantiles per (by..., column) as columns q0, q1, ...
 
-    Values are reduced to counts on the map side and ranked by running totals over range chunks: no
-    task ever holds all values of a column, unlike the built-in exact percentile.
+    By radix selection (:mod:`quantiles`): three passes over the values, of which none is shuffled.
     """
     group = [*by, "column"]
-    counts = long_values(df, cols, by=by).groupBy(*group, "value").agg(F.count("*").alias("n"))
-    runs = running_totals(counts, ["value"], {"upto": "n"}, group)
-    return pick_quantiles(runs, group, probs)
-
-
-def pick_quantiles(runs: DataFrame, group: Sequence[str], probs: Sequence[float] = QUARTILES) -> DataFrame:
-    """Quantiles from distinct values with count ``n``, running count ``upto`` and its group total."""
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto")), F.col("value")))
-
-    aggs = []
-    for i, p in enumerate(probs):
-        pos = F.lit(float(p)) * (F.col("total_upto") - 1)
-        aggs += [at(F.floor(pos)).alias(f"__lo{i}"), at(F.ceil(pos)).alias(f"__hi{i}"),
-                 F.max(pos - F.floor(pos)).alias(f"__w{i}")]
-    out = runs.groupBy(*group).agg(*aggs)
-    quantile = [(F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__w{i}")).alias(f"q{i}")
-                for i in range(len(probs))]
-    return out.select(*group, *quantile)
+    return interpolated(order_statistics(long_values(df, cols, by=by), group, probs, not by), group, len(probs))
 
 
 # --- describe ----------------------------------------------------------------------------------
@@ -140,13 +120,12 @@ def describe_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def center_stats(df: DataFrame, col: str) -> DataFrame:
-    """Mean, median and mode (lowest value on ties) from one table of distinct values."""
+    """Mean, median and mode (lowest value on ties). Only the mode needs the distinct values with their counts."""
     counts = long_values(df, [col]).groupBy("column", "value").agg(F.count("*").alias("n"))
-    runs = running_totals(counts, ["value"], {"upto": "n"}, ["column"])
-    most = runs.groupBy("column").agg(
+    most = counts.groupBy("column").agg(
         F.max_by("value", F.struct("n", -F.col("value"))).alias("mode"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
-    median = pick_quantiles(runs, ["column"], (0.5,)).withColumnRenamed("q0", "median")
+    median = exact_quantiles(df, [col], (0.5,)).withColumnRenamed("q0", "median")
     return most.join(median, "column").select("column", "mean", "median", "mode")
 
 
