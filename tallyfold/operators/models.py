@@ -10,26 +10,15 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    IsotonicRegression,
-    LinearRegression,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.hashing import SEED, hash32
+from tallyfold.functions.hashing import hash32
+from tallyfold.operators import trees
+from tallyfold.operators.isotonic import fit_isotonic
 from tallyfold.session import stage_table
 
 
@@ -124,38 +113,72 @@ class GaussianNB:
 
 # --- trees -------------------------------------------------------------------------------------
 
-DEEPEST = 30  # trees without a stated depth grow as far as Spark allows
+DEEPEST = 60  # trees without a stated depth grow until their nodes are pure
+
+# Names of the experiments' settings for trees and boosting, and what the engine calls them.
+TREE_SETTINGS = {"maxDepth": "depth", "minInstancesPerNode": "min_rows", "minSplit": "min_split", "minInfoGain": "min_gain", "maxLeaves": "leaves",
+                 "featureSubsetStrategy": "share", "numTrees": "n_trees", "maxIter": "rounds", "stepSize": "step", "subsamplingRate": "rate",
+                 "columnRate": "columns", "minChildWeight": "min_weight", "l2": "ridge"}
+
+
+def _settings(params: dict) -> dict:
+    """The engine's settings; those that are None take its defaults."""
+    out = {TREE_SETTINGS.get(k, k): v for k, v in params.items() if k != "impurity" and v is not None}
+    return {**out, "entropy": True} if params.get("impurity", "gini") == "entropy" else out
+
+
+def _balanced(df: DataFrame, label: str, params: dict) -> tuple[DataFrame, dict]:
+    """With classWeight "balanced", the frame gets weights and the fit takes them."""
+    rest = {k: v for k, v in params.items() if k != "classWeight"}
+    if params.get("classWeight") != "balanced":
+        return df, rest
+    return balanced_weights(df, label, "__balance"), {**rest, "weight": "__balance"}
+
 
 def fit_tree(df: DataFrame, label: str = "label", **params):
-    return DecisionTreeClassifier(labelCol=label, seed=SEED, **{"maxDepth": DEEPEST, **params}).fit(df)
+    """A tree for labels 0 and 1; ``maxLeaves`` grows best leaf first."""
+    df, params = _balanced(df, label, params)
+    return trees.fit_trees(df, label, "proportion", **_settings({"maxDepth": DEEPEST, **params}))
 
 
 def fit_forest(df: DataFrame, label: str = "label", **params):
-    return RandomForestClassifier(labelCol=label, seed=SEED, **{"numTrees": 100, "maxDepth": DEEPEST, **params}).fit(df)
+    df, params = _balanced(df, label, params)
+    defaults = {"numTrees": 100, "maxDepth": DEEPEST, "featureSubsetStrategy": "sqrt", "bootstrap": True}
+    return trees.fit_trees(df, label, "proportion", **_settings({**defaults, **params}))
 
 
 def fit_tree_reg(df: DataFrame, label: str = "label", **params):
-    return DecisionTreeRegressor(labelCol=label, seed=SEED, **{"maxDepth": DEEPEST, **params}).fit(df)
+    return trees.fit_trees(df, label, "mean", **_settings({"maxDepth": DEEPEST, **params}))
 
 
 def fit_forest_reg(df: DataFrame, label: str = "label", **params):
-    return RandomForestRegressor(labelCol=label, seed=SEED, **{"numTrees": 100, "maxDepth": DEEPEST, **params}).fit(df)
+    return trees.fit_trees(df, label, "mean", **_settings({"numTrees": 100, "maxDepth": DEEPEST, "bootstrap": True, **params}))
 
 
-# Named settings for the three boosting styles of the experiments.
+# Named settings for the three boosting styles of the experiments: level by level, best leaf first, one cut a level.
 BOOST_PRESETS = {
-    "depthwise": {"maxIter": 100, "stepSize": 0.3, "maxDepth": 6},
-    "leafy": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5},
-    "slow": {"maxIter": 1000, "stepSize": 0.03, "maxDepth": 6},
+    "depthwise": {"maxIter": 100, "stepSize": 0.3, "maxDepth": 6, "l2": 1.0, "minChildWeight": 1.0},
+    "leafy": {"maxIter": 100, "stepSize": 0.1, "maxDepth": DEEPEST, "maxLeaves": 31, "l2": 0.0, "minChildWeight": 1e-3, "minInstancesPerNode": 20},
+    "slow": {"maxIter": 1000, "stepSize": 0.03, "maxDepth": 6, "l2": 3.0, "minChildWeight": 0.0, "symmetric": True},
 }
 
 
 def fit_gbt(df: DataFrame, label: str = "label", preset: str = "depthwise", **params):
-    return GBTClassifier(labelCol=label, seed=SEED, **{**BOOST_PRESETS[preset], **params}).fit(df)
+    df, params = _balanced(df, label, params)
+    return trees.fit_boosted(df, label, "logit", **_settings({**BOOST_PRESETS[preset], **params}))
 
 
 def fit_gbt_reg(df: DataFrame, label: str = "label", preset: str = "depthwise", **params):
-    return GBTRegressor(labelCol=label, seed=SEED, **{**BOOST_PRESETS[preset], **params}).fit(df)
+    return trees.fit_boosted(df, label, "sum", **_settings({**BOOST_PRESETS[preset], **params}))
+
+
+def fit_adaboost(df: DataFrame, label: str = "label", n: int = 50, lr: float = 1.0, depth: int = 1):
+    """Discrete AdaBoost on shallow trees for labels 0 and 1."""
+    return trees.fit_adaboost(df, label, n, lr, depth)
+
+
+def fit_adaboost_r2(df: DataFrame, label: str = "label", n: int = 50, lr: float = 1.0, depth: int = 3):
+    return trees.fit_adaboost_r2(df, label, n, lr, depth)
 
 
 # --- calibrated margin classifier --------------------------------------------------------------
@@ -181,7 +204,7 @@ class CalibratedSVC:
                 df = df.withColumn(f"__p{i}", 1 / (1 + F.exp(-(F.lit(cal.coefficients[0]) * F.col("__margin")
                                                               + F.lit(cal.intercept)))))
             else:
-                df = cal.transform(df).withColumnRenamed("prediction", f"__p{i}")
+                df = cal.transform(df, "__margin", f"__p{i}")
             df = df.drop("__margin")
             probs.append(F.col(f"__p{i}"))
         p = sum(probs[1:], probs[0]) / len(probs)
@@ -200,127 +223,11 @@ def fit_calibrated_svc(df: DataFrame, id_col: str, label: str = "label", method:
             est = LogisticRegression(labelCol=label, featuresCol="__m", regParam=0.0)
             cal = est.fit(held.select(label, array_to_vector(F.array("__margin")).alias("__m")))
         else:
-            cal = IsotonicRegression(labelCol=label, featuresCol="__margin").fit(held.select(label, "__margin"))
+            cal = fit_isotonic(held, "__margin", label)
         out.models.append(svc)
         out.calibrators.append(cal)
     return out
 
 
-# --- AdaBoost ----------------------------------------------------------------------------------
-
-@dataclass
-class BoostedVotes:
-    """Weighted vote of trees (two classes)."""
-
-    trees: list = field(default_factory=list)
-    alphas: list = field(default_factory=list)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        kept, vote, total = df.columns, F.lit(0.0), sum(self.alphas) or 1.0
-        for i, (tree, a) in enumerate(zip(self.trees, self.alphas)):
-            df = _renamed(tree).transform(df).withColumnRenamed("__pred", f"__v{i}")
-            vote = vote + F.lit(a) * (2 * F.col(f"__v{i}") - 1)
-        p = 1 / (1 + F.exp(-vote / total))
-        return df.select(*kept, array_to_vector(F.array(1 - p, p)).alias("probability"),
-                         F.when(vote > 0, 1.0).otherwise(0.0).alias("prediction"))
-
-
-def _renamed(tree):
-    """The same tree writing only ``__pred``."""
-    tree = tree.copy().setPredictionCol("__pred")
-    if tree.hasParam("rawPredictionCol"):
-        tree = tree.setRawPredictionCol("").setProbabilityCol("")
-    return tree
-
-
-def _next_round(rows: DataFrame, spent: list, r: int) -> DataFrame:
-    """Keep one round's weights at hand, release the ones before last, and cut the lineage every ten rounds."""
-    rows = stage_table(rows, "boost") if r % 10 == 9 else rows.persist(StorageLevel.MEMORY_AND_DISK)
-    spent.append(rows)
-    if len(spent) > 2:
-        spent.pop(0).unpersist()
-    return rows
-
-
-def _release(spent: list) -> None:
-    for rows in spent:
-        rows.unpersist()
-
-
-def fit_adaboost(df: DataFrame, label: str = "label", n: int = 50, lr: float = 1.0, depth: int = 1) -> BoostedVotes:
-    """Discrete AdaBoost on shallow trees; the driver only sees one error rate per round."""
-    rows = stage_table(df.select("features", F.col(label).cast("double").alias("label"), F.lit(1.0).alias("w")), "boost")
-    est = DecisionTreeClassifier(labelCol="label", weightCol="w", maxDepth=depth, seed=SEED)
-    out, spent = BoostedVotes(), []
-    for r in range(n):
-        tree = est.fit(rows)
-        scored = _renamed(tree).transform(rows)
-        miss = (F.col("__pred") != F.col("label")).cast("double")
-        one = scored.agg((F.sum(F.col("w") * miss) / F.sum("w")).alias("err"), F.sum("w").alias("total"),
-                         F.count("*").alias("n")).first()
-        if one.err >= 0.5:
-            break
-        alpha = lr * math.log((1 - one.err) / max(one.err, 1e-16))
-        out.trees.append(tree)
-        out.alphas.append(alpha)
-        if one.err <= 1e-12:
-            break
-        scale = one.n / one.total
-        rows = scored.withColumn("w", F.col("w") * F.exp(F.lit(alpha) * miss) * F.lit(scale)).select("features", "label", "w")
-        rows = _next_round(rows, spent, r)
-    _release(spent)
-    return out
-
-
-@dataclass
-class BoostedMedian:
-    """Weighted median of regression trees."""
-
-    trees: list = field(default_factory=list)
-    weights: list = field(default_factory=list)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        kept = df.columns
-        for i, tree in enumerate(self.trees):
-            df = _renamed(tree).transform(df).withColumnRenamed("__pred", f"__v{i}")
-        votes = F.array_sort(F.array(*[F.struct(F.col(f"__v{i}").alias("v"), F.lit(w).alias("w"))
-                                       for i, w in enumerate(self.weights)]))
-        half = sum(self.weights) / 2
-        start = F.struct(F.lit(0.0).alias("seen"), F.lit(None).cast("double").alias("at"))
-        pick = F.aggregate(votes, start, lambda s, v: F.struct(
-            (s["seen"] + v["w"]).alias("seen"),
-            F.when(s["at"].isNull() & (s["seen"] + v["w"] >= half), v["v"]).otherwise(s["at"]).alias("at")))
-        return df.select(*kept, pick["at"].alias("prediction"))
-
-
-def fit_adaboost_r2(df: DataFrame, label: str = "label", n: int = 50, lr: float = 1.0, depth: int = 3) -> BoostedMedian:
-    """AdaBoost.R2 with linear loss; row weights go to the tree directly instead of a weighted bootstrap."""
-    rows = stage_table(df.select("features", F.col(label).cast("double").alias("label"), F.lit(1.0).alias("w")), "boost")
-    est = DecisionTreeRegressor(labelCol="label", weightCol="w", maxDepth=depth, seed=SEED)
-    out, spent = BoostedMedian(), []
-    for r in range(n):
-        tree = est.fit(rows)
-        scored = _renamed(tree).transform(rows).withColumn("__e", F.abs(F.col("__pred") - F.col("label")))
-        worst = scored.agg(F.max("__e")).first()[0]
-        if not worst:
-            out.trees.append(tree)
-            out.weights.append(1.0)
-            break
-        one = scored.agg((F.sum(F.col("w") * F.col("__e")) / F.sum("w") / worst).alias("loss"), F.sum("w").alias("total"),
-                         F.count("*").alias("n")).first()
-        if one.loss >= 0.5 and out.trees:
-            break
-        beta = one.loss / (1 - one.loss)
-        out.trees.append(tree)
-        out.weights.append(lr * math.log(1 / beta))
-        if one.loss >= 0.5:
-            break
-        gain = F.pow(F.lit(beta), lr * (1 - F.col("__e") / worst))
-        rows = scored.withColumn("w", F.col("w") * gain * F.lit(one.n / one.total)).select("features", "label", "w")
-        rows = _next_round(rows, spent, r)
-    _release(spent)
-    return out
-
-
 def positive_probability(col: str = "probability") -> Column:
     return vector_to_array(col)[1]

@@ -8,27 +8,30 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.operators.metrics import CLASS_METRICS, REG_METRICS, classification_metrics, regression_metrics
+from tallyfold.operators.metrics import CLASS_METRICS, REG_METRICS, classification_metrics, operating_point, regression_metrics, roc_curve
 from tallyfold.operators.sampling import named_split, split_names
 from tallyfold.session import stage_table
 
-# What the experiments search, restricted to what the Spark estimators can vary.
+# What the experiments search.
 GRIDS: dict[str, dict[str, list]] = {
     "knn": {"k": [3, 5, 7, 9], "weights": ["uniform", "distance"], "p": [1, 2]},
     "logistic": {"penalty": ["l1", "l2", "elasticnet", "none"], "C": [0.01, 0.1, 1.0, 10.0, 100.0],
                  "max_iter": [100, 1000], "l1_ratio": [0.1, 0.5, 0.9]},
     "gaussian_nb": {"var_smoothing": [10.0 ** -i for i in range(10)]},
     "linear_svc": {"C": [0.01, 0.1, 1.0, 10.0, 100.0], "method": ["sigmoid", "isotonic"]},
-    "tree": {"impurity": ["gini", "entropy"], "maxDepth": [3, 9, 27, 30], "minInstancesPerNode": [1, 5, 10]},
-    "forest": {"numTrees": [50, 100, 200], "impurity": ["gini", "entropy"], "maxDepth": [3, 30],
-               "minInstancesPerNode": [1, 5, 10], "featureSubsetStrategy": ["sqrt", "log2", "all"]},
+    "tree": {"impurity": ["gini", "entropy"], "maxDepth": [3, 9, 27, None], "minSplit": [2, 8, 32], "minInstancesPerNode": [1, 5, 10],
+             "featureSubsetStrategy": ["sqrt", "log2", "all"], "maxLeaves": [10, 50, 100, None], "classWeight": ["balanced", None]},
+    "forest": {"numTrees": [50, 100, 200], "impurity": ["gini", "entropy"], "maxDepth": [3, 30, None], "minSplit": [2, 32],
+               "minInstancesPerNode": [1, 10], "featureSubsetStrategy": ["sqrt", "log2", "all"], "maxLeaves": [10, 100, None]},
     "adaboost": {"n": [50, 100, 200], "lr": [1e-5, 1e-4, 1e-3, 1e-2, 1e-1, 1.0]},
     "depthwise": {"stepSize": [0.01, 0.1, 0.2, 0.3], "minInfoGain": [0.0, 5.0, 10.0], "maxDepth": [3, 6, 9],
-                  "minInstancesPerNode": [1, 5, 9], "subsamplingRate": [0.5, 1.0]},
-    "leafy": {"stepSize": [0.01, 0.1, 0.2, 0.3], "maxDepth": [3, 6, 9], "subsamplingRate": [0.5, 1.0]},
+                  "minChildWeight": [1, 5, 9], "subsamplingRate": [0.5, 1.0], "columnRate": [0.5, 1.0]},
+    "leafy": {"stepSize": [0.01, 0.1, 0.2, 0.3], "maxLeaves": [8, 16, 32], "maxDepth": [None, 3, 6, 9], "subsamplingRate": [0.5, 1.0],
+              "columnRate": [0.5, 1.0], "classWeight": ["balanced", None]},
     "slow": {"stepSize": [0.001, 0.01, 0.03, 0.1], "maxDepth": [3, 6, 9]},
 }
 
@@ -55,12 +58,13 @@ def timed(action: Callable):
 
 def validate(plan: DataFrame, name: str, prepare: Callable, fit: Callable, score: Callable, experiment: str, label: str,
              task: str = "classification", splits: Sequence[str] | None = None, retrain: bool = False,
-             params: Mapping | None = None) -> DataFrame:
+             params: Mapping | None = None, fixed_fpr: float | None = None) -> DataFrame:
     """Run rows: one parent and one child per named split with its metrics and times.
 
     ``prepare(train, evaluate)`` returns encoded frames; ``fit(train)`` a model; ``score(model,
     evaluate)`` a frame with the label and ``prediction``. ``testing`` runs only with ``retrain``.
-    Only the few metric numbers of a split come to the driver.
+    With ``fixed_fpr`` predictions follow the threshold of the last point of the ROC curve whose false-positive rate does
+    not exceed it; threshold, fpr and tpr come along as metrics. Only the few metric numbers of a split come to the driver.
     """
     spark = plan.sparkSession
     parent, rows = uuid.uuid4().hex, []
@@ -70,22 +74,32 @@ def validate(plan: DataFrame, name: str, prepare: Callable, fit: Callable, score
             continue
         train, evaluate = prepare(*named_split(plan, split))
         # Fits pass over the rows many times; the written table spares them the joins of the encoders.
-        metrics = _measured(stage_table(train, "train"), evaluate, fit, score, label, task)
+        metrics = _measured(stage_table(train, "train"), evaluate, fit, score, label, task, fixed_fpr)
         rows.append((experiment, uuid.uuid4().hex, parent, split, time.time(), metrics, _text(params)))
     rows.insert(0, (experiment, parent, None, name, begun, {}, _text(params)))
     return spark.createDataFrame(rows, RUN_SCHEMA).withColumn("start_time", F.timestamp_seconds("start_time"))
 
 
-def _measured(train: DataFrame, evaluate: DataFrame, fit: Callable, score: Callable, label: str, task: str) -> dict[str, float]:
+def _measured(train: DataFrame, evaluate: DataFrame, fit: Callable, score: Callable, label: str, task: str,
+              fixed_fpr: float | None = None) -> dict[str, float]:
     """Metrics and times of one fit. The time of scoring is that of writing the predictions; the metrics then read them."""
     model, fit_time = timed(lambda: fit(train))
-    scored, score_time = timed(lambda: stage_table(score(model, evaluate).select(label, "prediction"), "scored"))
+    kept = [F.col(label), F.col("prediction").cast("double").alias("prediction")]
+    kept += [vector_to_array("probability")[1].alias("p1")] if fixed_fpr is not None else []
+    scored, score_time = timed(lambda: stage_table(score(model, evaluate).select(*kept), "scored"))
+    point: dict[str, float] = {}
+    if fixed_fpr is not None:
+        one = operating_point(roc_curve(scored, label, "p1"), fixed_fpr).first()
+        # The first point of a curve has no threshold: nothing is predicted positive.
+        threshold = float("inf") if one.threshold is None else one.threshold
+        point = {"threshold": threshold, "fpr": one.fpr, "tpr": one.tpr}
+        scored = scored.withColumn("prediction", (F.col("p1") >= threshold).cast("double"))
     if task == "classification":
         report, names = classification_metrics(scored, label, "prediction"), CLASS_METRICS
     else:
         report, names = regression_metrics(scored, label, "prediction"), REG_METRICS
     one = report.first()
-    return {m: one[m] for m in names} | {"fit_time": float(fit_time), "score_time": float(score_time)}
+    return {m: one[m] for m in names} | point | {"fit_time": float(fit_time), "score_time": float(score_time)}
 
 
 RUN_SCHEMA = ("experiment string, run_id string, parent_run_id string, name string, start_time double, "
@@ -97,7 +111,7 @@ def _text(params: Mapping | None) -> dict[str, str]:
 
 
 def tune(plan: DataFrame, name: str, prepare: Callable, fit: Callable, score: Callable, grid: Mapping[str, Sequence],
-         label: str, task: str = "classification", k: int = 5) -> DataFrame:
+         label: str, task: str = "classification", k: int = 5, fixed_fpr: float | None = None) -> DataFrame:
     """(setting, metric, mean, std) over the folds for every setting. ``fit`` takes (train, **setting).
 
     Each fold is encoded once and written; all settings are fitted on it.
@@ -106,7 +120,7 @@ def tune(plan: DataFrame, name: str, prepare: Callable, fit: Callable, score: Ca
     for j in range(1, k + 1):
         train, evaluate = (stage_table(part, "fold") for part in prepare(*named_split(plan, f"fold_{j}")))
         for setting in combinations(grid):
-            metrics = _measured(train, evaluate, lambda t, s=setting: fit(t, **s), score, label, task)
+            metrics = _measured(train, evaluate, lambda t, s=setting: fit(t, **s), score, label, task, fixed_fpr)
             rows += [(json.dumps(_text(setting), separators=(",", ":")), m, v) for m, v in metrics.items()]
     found = plan.sparkSession.createDataFrame(rows, "setting string, metric string, value double")
     return found.groupBy("setting", "metric").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
