@@ -1,14 +1,16 @@
-"""Exact nearest-neighbour and radius joins over vectors, cut into cells around pivots.
+"""Exact nearest-neighbour and radius joins over vectors, cut into cells under a tree of pivots.
 
-Every reference vector belongs to the cell of its nearest pivot. From each cell's radius and its
-closest members the triangle inequality gives, per query, a bound on the k-th distance and thereby
-the few cells that can hold an answer. A query meets only those cells, block against block, and
-only its k best per block leave the task. Equal vectors are handled once, so copies cost nothing.
+Every reference vector belongs to the cell of its nearest pivot, and crowded cells are cut again. From
+each node's radius and its closest members the triangle inequality gives, per query, a bound on the
+k-th distance and thereby the few cells that can hold an answer. A query meets only those cells, block
+against block, and only its k best per block leave the task. Equal vectors are handled once, so copies
+cost nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,82 +41,150 @@ def _pivots(df: DataFrame, n: int) -> np.ndarray:
     return np.array([r.vec for r in picked.collect()], dtype=float)
 
 
-def _pivot_count(rows: int) -> int:
-    return int(min(512, max(1, round(rows ** 0.5 / 2))))
+FAN = 512  # pivots on the first level, and at most below one node
+LEAF = 4096  # vectors of a cell that is not cut again
+SLICE = 512  # queries whose bounds are worked out at a time
 
 
-class PivotCells:
-    """Distinct reference vectors with their cell, plus per-cell summaries of bounded size."""
+def _bounds(d: np.ndarray, close: np.ndarray, k: int) -> np.ndarray:
+    """A bound on the k-th distance of each query: to a member of a node it is at most that to its pivot and on from there."""
+    out = np.empty(len(d))
+    for i in range(0, len(d), SLICE):
+        reachable = (d[i: i + SLICE, :, None] + close[None]).reshape(len(d[i: i + SLICE]), -1)
+        kth = min(k, reachable.shape[1]) - 1
+        out[i: i + SLICE] = np.partition(reachable, kth, axis=1)[:, kth]
+    return out
+
+
+def _padded(lists, k: int) -> np.ndarray:
+    out = np.full((len(lists), k), np.inf)
+    for i, d in enumerate(lists):
+        out[i, :len(d)] = d
+    return out
+
+
+class PivotTree:
+    """Distinct reference vectors (rid, vec, ...) in cells of at most ``LEAF`` of them, under a tree of pivots.
+
+    The first level has up to ``FAN`` pivots, held by the driver. A cell of more than ``LEAF`` vectors gets pivots of its
+    own, picked by hash among its members, and so on down; these lie in written tables with the radius of each node and
+    the distances of its closest members. So the cells a query meets, and their size, do not grow with the data.
+    """
 
     def __init__(self, vectors: DataFrame, k: int, metric: str):
         if metric not in METRICS:
             raise ValueError(f"metric must be one of {METRICS}")
-        self.metric, self.k = metric, k
-        rows = vectors.count()
-        self.pivots = _pivots(vectors, _pivot_count(rows))
-        self.cells = stage_table(self.nearest(vectors), "cells")
-        per_cell = first_per_key(self.cells.select("cell", "dist"), ["cell"], ["dist"], n=max(k, 1))
-        close = {r.cell: sorted(r.d) for r in per_cell.groupBy("cell").agg(F.collect_list("dist").alias("d")).collect()}
-        self.n, self.radius = np.zeros(len(self.pivots), int), np.full(len(self.pivots), -1.0)
-        for r in self.cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("dist").alias("far")).collect():
-            self.n[r.cell], self.radius[r.cell] = r.n, r.far
-        self.close = np.full((len(self.pivots), max(k, 1)), np.inf)
-        for c, d in close.items():
-            self.close[c, :len(d)] = d
-
-    def nearest(self, vectors: DataFrame) -> DataFrame:
+        self.metric, self.k, self.extra = metric, max(k, 1), vectors.columns
+        self.pivots = _pivots(vectors, int(min(FAN, max(1, round(vectors.count() ** 0.5 / 2)))))
+        level = stage_table(self._nearest(vectors), "cells")
+        top = {r.cell: r for r in self._summary(level).collect()}  # at most FAN rows
+        self.radius = np.array([top[c].radius if c in top else -1.0 for c in range(len(self.pivots))])
+        self.close = _padded([top[c].close if c in top else [] for c in range(len(self.pivots))], self.k)
+        self.levels, ready = [], []
+        while True:
+            sizes = stage_table(level.groupBy("cell").agg(F.count("*").alias("n")), "sizes")
+            big = sizes.filter(F.col("n") > LEAF)
+            if big.isEmpty():
+                break
+            ready.append(level.join(sizes.filter(F.col("n") <= LEAF), "cell", "left_semi"))
+            level = self._cut(level.join(big, "cell"))
+        self.cells = reduce(DataFrame.unionByName, [*ready, level])
+
+    def _nearest(self, vectors: DataFrame) -> DataFrame:
         pivots, metric = self.pivots, self.metric
 
         def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 if len(pdf):
                     d = _distances(np.stack(pdf["vec"].to_numpy()).astype(float), pivots, metric)
-                    yield pdf.assign(cell=d.argmin(axis=1).astype("int32"), dist=d.min(axis=1))
+                    yield pdf.assign(cell=d.argmin(axis=1).astype("int64"), dist=d.min(axis=1))
 
-        schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.IntegerType()),
-                               T.StructField("dist", T.DoubleType())])
+        schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.LongType()), T.StructField("dist", T.DoubleType())])
         return vectors.mapInPandas(assign, schema)
 
-    def candidates(self, queries: DataFrame, eps: float | None = None) -> DataFrame:
-        """Each query once per cell that may hold one of its k nearest (or a vector within ``eps``)."""
+    def _summary(self, level: DataFrame) -> DataFrame:
+        """(cell, radius, close): the farthest member of each node, and the distances of its k closest."""
+        close = first_per_key(level.select("cell", "dist"), ["cell"], ["dist"], n=self.k).groupBy("cell").agg(
+            F.sort_array(F.collect_list("dist")).alias("close"))
+        return level.groupBy("cell").agg(F.max("dist").alias("radius")).join(close, "cell")
+
+    def _cut(self, members: DataFrame) -> DataFrame:
+        """The members (with n, the size of their cell) in the cells of new pivots; the nodes are kept for descents."""
+        metric, columns = self.metric, [*self.extra, "cell", "dist"]
+        ranked = first_per_key(members.select("cell", "n", "vec", F.xxhash64("vec", F.lit(SEED + 1)).alias("h")), ["cell"], ["h"], FAN, "nth")
+        picks = stage_table(ranked.filter(F.col("nth") <= F.greatest(F.lit(2), F.ceil(2 * F.col("n") / LEAF))).select(
+            "cell", "n", ((F.col("cell") + 1) * FAN + F.col("nth") - 1).alias("child"), F.col("vec").alias("pivot")), "pivots")
+        parts = F.ceil(F.col("n") / BLOCK).cast("int")
+        left = members.withColumn("part", F.pmod(F.xxhash64("rid"), parts).cast("int"))
+        right = picks.select("cell", "child", "pivot", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+
+        def assign(pdf: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+            if not len(pdf):
+                return pdf[columns]
+            d = _distances(np.stack(pdf["vec"].to_numpy()).astype(float), np.stack(pivots["pivot"].to_numpy()), metric)
+            return pdf.assign(cell=pivots["child"].to_numpy()[d.argmin(axis=1)], dist=d.min(axis=1))[columns]
+
+        level = left.groupBy("cell", "part").cogroup(right.groupBy("cell", "part")).applyInPandas(assign, members.select(*columns).schema)
+        level = stage_table(level, "cells")
+        nodes = self._summary(level).join(picks.select(F.col("cell").alias("parent"), F.col("child").alias("cell"), "pivot"), "cell")
+        self.levels.append(stage_table(nodes, "nodes"))
+        return level
+
+    def reached(self, queries: DataFrame, eps: float | None = None) -> DataFrame:
+        """Each query (qid, vec) once per cell that may hold one of its k nearest, or a vector within ``eps``."""
         pivots, metric, radius, close, k = self.pivots, self.metric, self.radius, self.close, self.k
 
-        def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def meet(pdf: pd.DataFrame, d: np.ndarray, bound: np.ndarray, radius: np.ndarray, cells: np.ndarray) -> pd.DataFrame:
+            low = d - radius
+            q, c = np.nonzero((radius >= 0) & (low <= bound[:, None] + 1e-9 * (1.0 + d)))
+            return pd.DataFrame({"qid": pdf["qid"].to_numpy()[q], "vec": pdf["vec"].to_numpy()[q], "cell": cells[c],
+                                 "bound": bound[q], "low": low[q, c] - 1e-9 * (1.0 + d[q, c])})
+
+        def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                if not len(pdf):
-                    continue
-                d = _distances(np.stack(pdf["vec"].to_numpy()).astype(float), pivots, metric)
-                if eps is None:
-                    reachable = (d[:, :, None] + close[None, :, :]).reshape(len(d), -1)
-                    kth = min(k, reachable.shape[1]) - 1
-                    bound = np.partition(reachable, kth, axis=1)[:, kth:kth + 1]
-                else:
-                    bound = np.full((len(d), 1), eps)
-                slack = 1e-9 * (1.0 + d)
-                hit = (radius[None, :] >= 0) & (d - radius[None, :] <= bound + slack)
-                q, c = np.nonzero(hit)
-                yield pdf.iloc[q].assign(cell=c.astype("int32"))
-
-        schema = T.StructType([*queries.schema.fields, T.StructField("cell", T.IntegerType())])
-        return queries.mapInPandas(reach, schema)
+                if len(pdf):
+                    d = _distances(np.stack(pdf["vec"].to_numpy()).astype(float), pivots, metric)
+                    yield meet(pdf, d, _bounds(d, close, k) if eps is None else np.full(len(d), eps), radius, np.arange(len(pivots)))
+
+        def descend(pdf: pd.DataFrame, nodes: pd.DataFrame) -> pd.DataFrame:
+            if not len(pdf) or not len(nodes):
+                return pdf[["qid", "vec", "cell", "bound", "low"]].iloc[:0]
+            d = _distances(np.stack(pdf["vec"].to_numpy()).astype(float), np.stack(nodes["pivot"].to_numpy()), metric)
+            bound = pdf["bound"].to_numpy()
+            if eps is None:
+                bound = np.minimum(bound, _bounds(d, _padded(nodes["close"].to_numpy(), k), k))
+            return meet(pdf, d, bound, nodes["radius"].to_numpy(), nodes["cell"].to_numpy())
+
+        schema = "qid long, vec array<double>, cell long, bound double, low double"
+        rows = queries.select("qid", "vec").mapInPandas(start, schema)
+        for nodes in self.levels:
+            rows = stage_table(rows, "reach")
+            inner = nodes.select(F.col("parent").alias("cell")).distinct()
+            met = stage_table(rows.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).join(inner, "cell"), "met")
+            left = rows.join(met, "cell").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int")).drop("parts")
+            right = nodes.join(met.select(F.col("cell").alias("parent"), F.col("parts").alias("spread")), "parent").withColumn(
+                "part", F.explode(F.sequence(F.lit(0), F.col("spread") - 1))).drop("spread")
+            down = left.groupBy("cell", "part").cogroup(right.groupBy("parent", "part")).applyInPandas(descend, schema)
+            rows = stage_table(rows.join(met, "cell", "left_anti").unionByName(down), "reach")
+            if eps is None:  # what one node has shown holds for the query everywhere
+                least = stage_table(rows.groupBy("qid").agg(F.min("bound").alias("least")), "bounds")
+                rows = rows.join(least, "qid").filter(F.col("low") <= F.col("least")).withColumn("bound", F.col("least")).drop("least")
+        return rows.select("qid", "vec", "cell")
 
     def blocks(self, queries: DataFrame, eps: float | None = None):
         """Queries and references cogrouped by (cell, query block, reference block), each of bounded size."""
-        q = stage_table(self.candidates(queries, eps), "reach")
-        n_query = np.zeros(len(self.pivots), int)
-        for r in q.groupBy("cell").count().collect():
-            n_query[r["cell"]] = r["count"]
-        parts_q = F.lit([int(-(-n // BLOCK)) or 1 for n in n_query])
-        parts_r = F.lit([int(-(-n // BLOCK)) or 1 for n in self.n])
+        q = stage_table(self.reached(queries, eps), "reach")
+        sizes = q.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts_q"))
+        sizes = stage_table(sizes.join(self.cells.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts_r")), "cell"), "sizes")
 
-        def pick(parts, key: str):
-            return F.pmod(F.xxhash64(key, F.lit(SEED)), F.element_at(parts, F.col("cell") + 1)).cast("int")
+        def pick(key: str, parts: str):
+            return F.pmod(F.xxhash64(key, F.lit(SEED)), F.col(parts)).cast("int")
 
-        def spread(parts):
-            return F.explode(F.sequence(F.lit(0), F.element_at(parts, F.col("cell") + 1) - 1))
+        def spread(parts: str):
+            return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
 
-        left = q.withColumn("qb", pick(parts_q, "qid")).withColumn("rb", spread(parts_r))
-        right = self.cells.drop("dist").withColumn("rb", pick(parts_r, "rid")).withColumn("qb", spread(parts_q))
+        left = q.join(sizes, "cell").withColumn("qb", pick("qid", "parts_q")).withColumn("rb", spread("parts_r")).drop("parts_q", "parts_r")
+        right = self.cells.drop("dist").join(sizes, "cell").withColumn("rb", pick("rid", "parts_r")).withColumn("qb", spread("parts_q")).drop("parts_q", "parts_r")
         return left.groupBy("cell", "qb", "rb").cogroup(right.groupBy("cell", "qb", "rb"))
 
 
@@ -139,7 +209,7 @@ def knn_join(left: DataFrame, right: DataFrame, k: int, left_id: str, right_id:
     # A vector shared by many rows can give at most `need` of them; the group limit keeps only those.
     copies = stage_table(first_per_key(rv, ["vec"], ["id"], n=need), "copies")
     refs = stage_table(_distinct(copies, "rid").select("rid", "vec"), "refs")
-    cells = PivotCells(refs, need, metric)
+    cells = PivotTree(refs, need, metric)
 
     def best(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"qid": np.array([], "int64"), "rid": np.array([], "int64"), "dist": np.array([], float)})
@@ -174,7 +244,7 @@ def radius_counts(df: DataFrame, id_col: str, vec: str, eps: float, metric: str
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("vec"),
                      w.cast("double").alias("w"))
     points = stage_table(rows.groupBy("vec").agg(F.min("id").alias("rid"), F.sum("w").alias("w")), "points")
-    cells = PivotCells(points, 1, metric)
+    cells = PivotTree(points, 1, metric)
 
     def within(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(r):
@@ -194,7 +264,7 @@ def radius_links(points: DataFrame, eps: float, metric: str = "euclidean") -> Da
 
     Each block gives a spanning forest of its own pairs, so at most one link per point and block.
     """
-    cells = PivotCells(points, 1, metric)
+    cells = PivotTree(points, 1, metric)
 
     def forest(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(r):
@@ -217,7 +287,7 @@ def radius_links(points: DataFrame, eps: float, metric: str = "euclidean") -> Da
 
 def radius_best(queries: DataFrame, refs: DataFrame, eps: float, tag: str, metric: str = "euclidean") -> DataFrame:
     """(rid, tag): the lowest tag among references (rid, vec, tag) within ``eps`` of each query (rid, vec)."""
-    cells = PivotCells(refs.select("rid", "vec", tag), 1, metric)
+    cells = PivotTree(refs.select("rid", "vec", tag), 1, metric)
 
     def lowest(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(r):

@@ -103,3 +103,33 @@ def test_warped_kmeans(spark):
     assert curve[0] > curve[1] > curve[2] and curve[2] < 0.2
     x = np.array([s for _, s in series])
     assert np.isclose(shapes._warp(x[:1], x[1])[0, -1, -1], dtw(x[0], x[1]))
+
+
+@pytest.mark.parametrize("fan,leaf", [(3, 10), (6, 40)])
+def test_deep_trees_of_pivots(cloud, spark, monkeypatch, fan, leaf):
+    """Crowded cells are cut again and again; answers stay those of all pairs, and no cell holds more than a leaf."""
+    monkeypatch.setattr(neighbours, "FAN", fan)
+    monkeypatch.setattr(neighbours, "LEAF", leaf)
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    test_knn_join(cloud, "euclidean")
+    test_radius_counts(cloud)
+    x, df = cloud
+    refs = neighbours._distinct(neighbours._as_vectors(df, "id", "v"), "rid").select("rid", "vec")
+    tree = neighbours.PivotTree(refs, 2, "manhattan")
+    sizes = [r["count"] for r in tree.cells.groupBy("cell").count().collect()]
+    assert len(tree.levels) >= 1 and max(sizes) <= leaf and sum(sizes) == refs.count()
+
+
+def test_candidates_do_not_grow_with_the_rows(spark, monkeypatch):
+    """With ten times the rows a query meets about as many vectors."""
+    monkeypatch.setattr(neighbours, "FAN", 8)
+    monkeypatch.setattr(neighbours, "LEAF", 32)
+    met = []
+    for n in (400, 4000):
+        x = np.random.default_rng(1).random((n, 2)) * [[1, 1]]
+        refs = spark.createDataFrame(pd.DataFrame({"rid": np.arange(n), "vec": [r.tolist() for r in x]}))
+        tree = neighbours.PivotTree(refs, 3, "euclidean")
+        cells = tree.cells.groupBy("cell").count()
+        reached = tree.reached(refs.limit(200).withColumnRenamed("rid", "qid"))
+        met.append(reached.join(cells, "cell").agg({"count": "sum"}).first()[0] / 200)
+    assert met[1] < 2.5 * met[0]
