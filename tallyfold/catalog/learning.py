@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from tallyfold.catalog.registry import LINE_ID, Tables, h32, query
 from tallyfold.operators import interpret, models, sampling, tuning
 from tallyfold.operators import metrics as K
 from tallyfold.operators.encode import assemble
+from tallyfold.operators.isotonic import fit_isotonic
 from tallyfold.plans import experiment as X
 from tallyfold.session import stage_table
 
@@ -109,6 +112,122 @@ def resampled_training(t: Tables) -> DataFrame:
     return _class_run(t, "Gaussian NB", 4, "over_under")
 
 
+# The value of an isotonic fit at a point is the largest, over stretches that begin at or before it, of the smallest mean of a stretch that ends at or after it.
+@query("isotonic_fit", """WITH p AS (SELECT l_quantity AS x, sum((l_extendedprice * (1 - l_discount) > 45000)::INT * (1 - (l_quantity::INT % 7 = 0)::INT)) AS a, count(*) AS b FROM lineitem GROUP BY 1),
+r AS (SELECT x, sum(a) OVER (ORDER BY x) AS ca, sum(b) OVER (ORDER BY x) AS cb, sum(a) OVER (ORDER BY x) - a AS la, sum(b) OVER (ORDER BY x) - b AS lb FROM p),
+m AS (SELECT i.x, j.x AS start, min((k.ca - j.la) / (k.cb - j.lb)) AS low FROM r i JOIN r j ON j.x <= i.x JOIN r k ON k.x >= i.x GROUP BY 1, 2)
+SELECT x, round(max(low), 9) AS value FROM m GROUP BY 1""")
+def isotonic_fit(t: Tables) -> DataFrame:
+    """Share of dear lines by quantity, forced to rise; every seventh quantity breaks the order on purpose."""
+    y = ((F.col("l_extendedprice") * (1 - F.col("l_discount")) > 45000) & (F.col("l_quantity").cast("int") % 7 != 0)).cast("int")
+    lines = t.lineitem.select(F.col("l_quantity").alias("x"), y.alias("y"))
+    fitted = fit_isotonic(lines, "x", "y").transform(lines.select("x").distinct(), "x", "value")
+    return fitted.select("x", F.round("value", 9).alias("value"))
+
+
+# First splits, rounds and stumps, recounted by trying every value of every column as a cut.
+_CUT_COLS = ["l_quantity", "l_discount", "l_tax"]
+_CUT_SRC = """src AS (SELECT l_quantity, l_discount, l_tax, (l_extendedprice * (1 - l_discount) > 45000)::INT AS y,
+l_extendedprice * (1 - l_discount) * (1 + l_tax) AS amount FROM lineitem)"""
+_PICK = "CASE f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(_CUT_COLS)) + " END"
+_NAME = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_CUT_COLS)) + " END"
+
+
+def _best_cuts(name: str, source: str, a: str, b: str, ridge: float, least: float = 0.0) -> str:
+    """The best cut of each side of ``source``: sums of a and b left of it (la, lb, ln), in all (ta, tb, tn), and its gain."""
+    long = " UNION ALL ".join(f"SELECT side, {i} AS f, {c} AS v, sum({a}) AS a, sum({b}) AS b, count(*) AS n FROM {source} GROUP BY side, v"
+                              for i, c in enumerate(_CUT_COLS))
+    worth = lambda s, t: f"({s}) ** 2 / ({t} + {ridge})"
+    return f"""{name} AS (SELECT *, {worth('la', 'lb')} + {worth('ta - la', 'tb - lb')} - {worth('ta', 'tb')} AS gain FROM (
+SELECT side, f, v, sum(a) OVER w AS la, sum(b) OVER w AS lb, (sum(n) OVER w)::BIGINT AS ln, sum(a) OVER k AS ta, sum(b) OVER k AS tb, (sum(n) OVER k)::BIGINT AS tn
+FROM ({long}) WINDOW w AS (PARTITION BY side, f ORDER BY v ROWS UNBOUNDED PRECEDING), k AS (PARTITION BY side, f)) WHERE ln < tn AND lb >= {least} AND tb - lb >= {least}
+QUALIFY row_number() OVER (PARTITION BY side ORDER BY round({worth('la', 'lb')} + {worth('ta - la', 'tb - lb')} - {worth('ta', 'tb')}, 6) DESC, f, v) = 1)"""
+
+
+def _cut_frame(t: Tables, label: str) -> DataFrame:
+    return assemble(rows(t).select("id", F.col(label).alias("label"), *_CUT_COLS), _CUT_COLS)
+
+
+def _cut_rows(t: Tables, tree, cuts, nodes, extra) -> DataFrame:
+    out = [(int(n), _CUT_COLS[tree.feature[n]], float(cuts[tree.feature[n]][tree.cut[n]]), *extra(n)) for n in nodes if tree.left[n] >= 0]
+    return t.spark.createDataFrame(out, "node int, feature string, threshold double, n_left long, left_value double, right_value double")
+
+
+def _sides(tree, digits: int):
+    return lambda n: (int(tree.rows[tree.left[n]]), round(float(tree.value[tree.left[n]]), digits), round(float(tree.value[tree.left[n] + 1]), digits))
+
+
+_SPLIT = "SELECT side AS node, {name} AS feature, v AS threshold, ln AS n_left, round({left}, {d}) AS left_value, round({right}, {d}) AS right_value FROM {cte}"
+
+
+def _first_split(target: str, digits: int) -> str:
+    best = _best_cuts("best", "s0", target, "1.0", 0)
+    return f"WITH {_CUT_SRC}, s0 AS (SELECT 0 AS side, * FROM src), {best} " + _SPLIT.format(
+        name=_NAME, left="la / lb", right="(ta - la) / (tb - lb)", d=digits, cte="best")
+
+
+@query("tree_first_split", _first_split("y", 9))
+def tree_first_split(t: Tables) -> DataFrame:
+    """The root of a decision tree: its column, threshold, rows and shares on both sides."""
+    model = models.fit_tree(_cut_frame(t, "y"), maxDepth=1)
+    return _cut_rows(t, model.trees[0], model.cuts, [0], _sides(model.trees[0], 9))
+
+
+@query("tree_regression_first_split", _first_split("amount", 4))
+def tree_regression_first_split(t: Tables) -> DataFrame:
+    model = models.fit_tree_reg(_cut_frame(t, "amount"), maxDepth=1)
+    return _cut_rows(t, model.trees[0], model.cuts, [0], _sides(model.trees[0], 4))
+
+
+def _round_sql(a: str, b: str, ridge: float, step: float, least: float) -> str:
+    """Two levels of one boosting round from the mean of the target: the cuts, and what both sides add to the scores."""
+    value = lambda s, h: f"{step} * ({s}) / ({h} + {ridge})"
+    one, two = _best_cuts("one", "s0", a, b, ridge, least), _best_cuts("two", "s1", a, b, ridge, least)
+    return f"""WITH {_CUT_SRC}, s0 AS (SELECT 0 AS side, *, avg(y) OVER () AS p, avg(amount) OVER () AS m FROM src), {one},
+s1 AS (SELECT 1 + ({_PICK} > v)::INT AS side, s0.* EXCLUDE (side) FROM s0, (SELECT f, v FROM one)), {two} """ + " UNION ALL ".join(
+        _SPLIT.format(name=_NAME, left=value("la", "lb"), right=value("ta - la", "tb - lb"), d=6, cte=cte) for cte in ("one", "two"))
+
+
+@query("boosting_first_round", _round_sql("y - p", "p * (1 - p)", 1.0, 0.3, 1.0))
+def boosting_first_round(t: Tables) -> DataFrame:
+    """The first round of boosting on a label, grown level by level to depth two."""
+    model = models.fit_gbt(_cut_frame(t, "y"), maxIter=1, maxDepth=2)
+    return _cut_rows(t, model.trees[0], model.cuts, range(3), _sides(model.trees[0], 6))
+
+
+@query("boosting_leafy_first_round", _round_sql("y - p", "p * (1 - p)", 0.0, 0.1, 0.001))
+def boosting_leafy_first_round(t: Tables) -> DataFrame:
+    """The first round grown best leaf first, to the four leaves that two levels have."""
+    model = models.fit_gbt(_cut_frame(t, "y"), preset="leafy", maxIter=1, maxDepth=2, maxLeaves=4)
+    return _cut_rows(t, model.trees[0], model.cuts, range(3), _sides(model.trees[0], 6))
+
+
+@query("boosting_amount_first_round", _round_sql("amount - m", "1.0", 1.0, 0.3, 1.0))
+def boosting_amount_first_round(t: Tables) -> DataFrame:
+    model = models.fit_gbt_reg(_cut_frame(t, "amount"), maxIter=1, maxDepth=2)
+    return _cut_rows(t, model.trees[0], model.cuts, range(3), _sides(model.trees[0], 6))
+
+
+def _stump_sql() -> str:
+    """Two rounds of AdaBoost: a stump, its weighted error and its vote; the second on the weights that the first leaves."""
+    first, second = _best_cuts("one", "s0", "y", "1.0", 0), _best_cuts("two", "s1", "y * w", "w", 0)
+    hit = "(CASE WHEN {pick} <= v THEN la / lb ELSE (ta - la) / (tb - lb) END > 0.5)::INT"
+    error = "(least(la, lb - la) + least(ta - la, tb - lb - ta + la)) / tb"
+    row = f"SELECT {{r}} AS round, {_NAME} AS feature, v AS threshold, round({error}, 9) AS error, round(ln((1 - {error}) / ({error})), 6) AS vote FROM {{cte}}"
+    return f"""WITH {_CUT_SRC}, s0 AS (SELECT 0 AS side, * FROM src), {first},
+s1 AS (SELECT 0 AS side, s0.* EXCLUDE (side), CASE WHEN {hit.format(pick=_PICK)} <> y THEN (1 - {error}) / ({error}) ELSE 1.0 END AS w FROM s0, (SELECT * EXCLUDE (side) FROM one)), {second}
+""" + " UNION ALL ".join(row.format(r=f"{i}::INT", cte=cte) for i, cte in ((1, "one"), (2, "two")))
+
+
+@query("adaboost_stumps", _stump_sql())
+def adaboost_stumps(t: Tables) -> DataFrame:
+    model = models.fit_adaboost(_cut_frame(t, "y"), n=2)
+    out = []
+    for i, (tree, vote) in enumerate(zip(model.trees, model.weights)):
+        out.append((i + 1, _CUT_COLS[tree.feature[0]], float(model.cuts[tree.feature[0]][tree.cut[0]]), round(1 / (1 + math.exp(vote)), 9), round(vote, 6)))
+    return t.spark.createDataFrame(out, "round int, feature string, threshold double, error double, vote double")
+
+
 _NB_COLS = ["l_quantity", "l_extendedprice"]
 _NB_SRC = f"s AS (SELECT {LINE_ID} AS id, l_quantity, l_extendedprice, (l_extendedprice * (1 - l_discount) > 45000)::INT AS y FROM lineitem)"
 
@@ -251,6 +370,27 @@ def partial_dependence(t: Tables) -> DataFrame:
     return rounded(rounded(out, ("value",)), ("mean_prediction",), 3)
 
 
+@query("partial_dependence_all", f"WITH {_LS}, e AS (SELECT *, (SELECT min(x2) FROM s) AS lo2, (SELECT max(x2) FROM s) AS hi2 FROM w) "
+       "SELECT 'l_quantity' AS feature, i::INT AS grid, round(lo + i * (hi - lo) / 99, 6) AS value, round(my + w1 * (lo + i * (hi - lo) / 99 - m1), 3) AS mean_prediction "
+       "FROM e, range(100) r(i) UNION ALL SELECT 'l_extendedprice', i::INT, round(lo2 + i * (hi2 - lo2) / 99, 6), round(my + w2 * (lo2 + i * (hi2 - lo2) / 99 - m2), 3) FROM e, range(100) r(i)")
+def partial_dependence_all(t: Tables) -> DataFrame:
+    model, df = _linear(t)
+    out = interpret.partial_dependence_all(model, df, _TWO)
+    return rounded(rounded(out, ("value",)), ("mean_prediction",), 3)
+
+
+@query("tree_partial_dependence", f"""WITH {_CUT_SRC}, s0 AS (SELECT 0 AS side, * FROM src), {_best_cuts("best", "s0", "y", "1.0", 0)},
+p AS (SELECT f, v, la / lb AS low, (ta - la) / (tb - lb) AS high, ta / tb AS mean FROM best),
+g AS (""" + " UNION ALL ".join(f"SELECT {i} AS j, '{c}' AS feature, min({c}) AS lo, max({c}) AS hi FROM src" for i, c in enumerate(_CUT_COLS)) + """)
+SELECT feature, i::INT AS grid, round(lo + i * (hi - lo) / 99, 6) AS value,
+round(CASE WHEN j <> f THEN mean WHEN lo + i * ((hi - lo) / 99) <= v THEN low ELSE high END, 6) AS mean_prediction FROM g, p, range(100) r(i)""")
+def tree_partial_dependence(t: Tables) -> DataFrame:
+    """All features of a tree with one split, whose dependence is a step of its column and flat in the others."""
+    df = _cut_frame(t, "y")
+    out = interpret.partial_dependence_all(models.fit_tree(df, maxDepth=1), df, _CUT_COLS)
+    return rounded(rounded(out, ("value",)), ("mean_prediction",))
+
+
 @query("permutation_importance", f"""WITH {_LS}, r AS (SELECT s.*, rep, {h32("concat(id, '-', rep)")} AS h FROM s, range(1, 11) g(rep)),
 d AS (SELECT *, coalesce(lead(x1) OVER k, first_value(x1) OVER k) AS p1, coalesce(lead(x2) OVER k, first_value(x2) OVER k) AS p2 FROM r
 WINDOW k AS (PARTITION BY rep ORDER BY h, id)),
