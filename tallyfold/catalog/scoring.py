@@ -414,10 +414,13 @@ def frequent_itemsets(t: Tables) -> DataFrame:
     return rounded(out, ("support",), 9)
 
 
-@query("association_rules", f"""WITH {_SETS}, pairs AS (SELECT x AS a, y AS c, freq FROM two UNION ALL SELECT y, x, freq FROM two)
+@query("association_rules", f"""WITH {_SETS}, ways AS (SELECT x AS a, y AS c, freq FROM two UNION ALL SELECT y, x, freq FROM two
+UNION ALL SELECT x || ',' || y, z, freq FROM three UNION ALL SELECT x || ',' || z, y, freq FROM three UNION ALL SELECT y || ',' || z, x, freq FROM three
+UNION ALL SELECT x || ',' || y || ',' || z, u, freq FROM four UNION ALL SELECT x || ',' || y || ',' || u, z, freq FROM four
+UNION ALL SELECT x || ',' || z || ',' || u, y, freq FROM four UNION ALL SELECT y || ',' || z || ',' || u, x, freq FROM four)
 SELECT a AS antecedent, c AS consequent, round(p.freq / o.freq, 9) AS confidence, round(p.freq / o.freq / (k.freq / total), 8) AS lift,
-round(p.freq / total, 9) AS support FROM pairs p JOIN one o ON o.item = a JOIN one k ON k.item = c, n
-WHERE p.freq >= ceil(0.01 * total) AND o.freq >= ceil(0.01 * total) AND p.freq / o.freq >= 0.15""")
+round(p.freq / total, 9) AS support FROM ways p JOIN sets o ON o.items = a JOIN one k ON k.item = c, n
+WHERE p.freq >= ceil(0.01 * total) AND p.freq / o.freq >= 0.15""")
 def association_rules(t: Tables) -> DataFrame:
     out = B.association_rules(_items(t), 0.01, 0.15)
     return out.select(F.array_join("antecedent", ",").alias("antecedent"), F.array_join("consequent", ",").alias("consequent"),
