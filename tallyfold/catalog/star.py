@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from tallyfold.catalog.registry import LINE_ID, Tables, h32, query
 from tallyfold.operators.rowsets import keep_in
 from tallyfold.plans import warehouse as WH
 from tallyfold.session import stage_table
+from tallyfold.sources import io
 
 # Loan columns from a line, its order, customer, supplier and their nations; text both engines read.
 LOAN_COLUMNS = {
@@ -142,16 +146,52 @@ def dim_loan_profiles(t: Tables) -> DataFrame:
        "sba_guaranteed_ratio) FROM loans")
 def fact_loans(t: Tables) -> DataFrame:
     money = ("balance_gross", "charged_off_amount", "approved_gross", "sba_guaranteed_amount")
-    return star(t).loans.withColumns({**{c: F.round(c, 6) for c in money},
+    return warehouse(t).loans.withColumns({**{c: F.round(c, 6) for c in money},
                                       "sba_guaranteed_ratio": F.round("sba_guaranteed_ratio", 9)})
 
 
+_STORED: dict[tuple[str, str], WH.Star] = {}  # application and folder to its warehouse
+
+
+def warehouse(t: Tables) -> WH.Star:
+    """The warehouse of a folder: loaded and written once, then asked by all OLAP queries of the session."""
+    key = t.spark.sparkContext.applicationId, t.folder
+    if key not in _STORED:
+        _STORED[key] = WH.stored_star(star(t))
+    return _STORED[key]
+
+
+@query("warehouse_cycle", ALL_SQL + " " + " UNION ALL ".join(
+    f"SELECT '{n}' AS tables, count(*) AS loaded, 0::BIGINT AS truncated, count(*) AS reloaded, true AS listed, false AS listed_after FROM {n}" for n in WH.TABLES))
+def warehouse_cycle(t: Tables) -> DataFrame:
+    """Create, load, truncate, load again, list and drop the six tables of the star."""
+    prefix, held = f"star_{uuid.uuid4().hex}_", warehouse(t)
+
+    def counts(name: str) -> DataFrame:
+        now = WH.read_tables(t.spark, prefix)
+        parts = [getattr(now, n).agg(F.count("*").alias(name)).select(F.lit(n).alias("tables"), name) for n in WH.TABLES]
+        return stage_table(reduce(DataFrame.unionAll, parts), "counts")
+
+    WH.create_tables(t.spark, held, prefix)
+    WH.append_star(held, prefix)
+    out = counts("loaded")
+    WH.truncate_tables(t.spark, prefix)
+    out = out.join(counts("truncated"), "tables")
+    WH.append_star(held, prefix)
+    out = out.join(counts("reloaded"), "tables")
+    before = io.list_tables(t.spark)
+    WH.drop_tables(t.spark, prefix)
+    after = io.list_tables(t.spark)
+    names = F.concat(F.lit(prefix), F.col("tables"))
+    return out.withColumns({"listed": names.isin([n for n in before if n.startswith(prefix)]), "listed_after": names.isin([n for n in after if n.startswith(prefix)])})
+
+
 @query("warehouse_counts", ALL_SQL + " " + " UNION ".join(
     f"SELECT '{k}' AS types, '{n}' AS tables, count(*) AS rows FROM {n}" for k, n in
     [*[("dimension", d) for d in ("states", "borrowers", "banks", "dates", "loan_profiles")], ("fact_table", "loans")])
     + " ORDER BY rows")
 def warehouse_counts(t: Tables) -> DataFrame:
-    return WH.warehouse_counts(star(t))
+    return WH.warehouse_counts(warehouse(t))
 
 
 _OVERVIEW = ("term", "term_in_days", "days_to_disbursement", "charged_off_amount", "approved_gross",
@@ -164,7 +204,7 @@ _OVERVIEW = ("term", "term_in_days", "days_to_disbursement", "charged_off_amount
        + " FROM loans JOIN borrowers USING (borrower_key) JOIN loan_profiles USING (loan_profile_key) "
        "GROUP BY industry ORDER BY industry")
 def industry_overview(t: Tables) -> DataFrame:
-    out = WH.industry_overview(star(t))
+    out = WH.industry_overview(warehouse(t))
     return out.withColumns({f"avg_{c}": F.round(f"avg_{c}", 6) for c in _OVERVIEW})
 
 
@@ -179,7 +219,7 @@ _BANK_AVG = ("days_to_disbursement", "sba_guaranteed_amount", "sba_guaranteed_ra
        + " FROM loans l JOIN banks b ON b.bank_key = l.bank_key JOIN states bs ON bs.state_key = b.state_key "
        "GROUP BY b.name, bs.name ORDER BY (0.5 * avg(term_in_days) + 0.5 * avg(approved_gross)) DESC, b.name LIMIT 500")
 def bank_comparison(t: Tables) -> DataFrame:
-    out = WH.bank_comparison(star(t))
+    out = WH.bank_comparison(warehouse(t))
     rounded = [c for c in [*_BANK, *[f"avg_{a}" for a in _BANK_AVG]] if c not in ("min_term_in_days", "max_term_in_days")]
     return out.withColumns({c: F.round(c, 6) for c in rounded})
 

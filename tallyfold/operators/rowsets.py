@@ -109,8 +109,7 @@ def duplicate_rows(df: DataFrame, cols: Sequence[str], row_id: str) -> DataFrame
 def upsert_first_wins(existing: DataFrame | None, new: DataFrame, keys: Sequence[str], attrs: Sequence[str],
                       order: Column) -> DataFrame:
     """Rows to append: the earliest row of each new natural key that ``existing`` does not hold yet."""
-    picked = new.groupBy(*keys).agg(F.min_by(F.struct(*keys, *attrs), order).alias("__row"))
-    rows = picked.select(*keys, *[F.col(f"__row.{a}").alias(a) for a in attrs])
+    rows = first_per_key(new, list(keys), [order.asc_nulls_last(), *attrs]).select(*keys, *attrs)
     return rows if existing is None else rows.join(existing.select(*keys), list(keys), "left_anti")
 
 

@@ -58,8 +58,12 @@ LOW_DOC_LIMIT = 150000
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text plus a source row number in ascending file order (the fill order)."""
-    return read_csv(spark, path, RAW_SCHEMA).withColumn(ROW_ID, F.monotonically_increasing_id())
+    """All columns as text plus the place of the row in its source (the fill order): file, block of the file, row.
+
+    Spark packs splits by size, so a row number alone would not follow the files.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return read_csv(spark, path, RAW_SCHEMA).withColumn(ROW_ID, place)
 
 
 def typed(raw: DataFrame) -> DataFrame:

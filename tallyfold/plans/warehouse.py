@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.hashing import hash32
@@ -18,6 +18,7 @@ from tallyfold.functions.scalars import date_parts
 from tallyfold.operators.ordered import rank_by_hash
 from tallyfold.operators.rowsets import lookup_key, upsert_first_wins
 from tallyfold.session import stage_table
+from tallyfold.sources import io
 
 # Column names of the cleaned loans and of the warehouse.
 RENAMES = {
@@ -156,6 +157,41 @@ def load_star(loans: DataFrame, old: Star | None = None) -> Star:
     return star
 
 
+TABLES = ("states", "borrowers", "banks", "dates", "loan_profiles", "loans")
+
+
+def stored_star(star: Star) -> Star:
+    """The same star on written tables: questions read what they need of it and rebuild nothing."""
+    return Star(**{t: stage_table(getattr(star, t), f"star-{t}") for t in TABLES})
+
+
+def create_tables(spark: SparkSession, star: Star, prefix: str) -> None:
+    """The six tables as empty catalog tables, unless they exist."""
+    for t in TABLES:
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in getattr(star, t).schema)
+        io.create_table(spark, prefix + t, columns)
+
+
+def append_star(star: Star, prefix: str) -> None:
+    """Append the rows of all six tables, dimensions first."""
+    for t in TABLES:
+        io.append_rows(getattr(star, t), prefix + t)
+
+
+def truncate_tables(spark: SparkSession, prefix: str) -> None:
+    for t in reversed(TABLES):
+        io.truncate_table(spark, prefix + t)
+
+
+def drop_tables(spark: SparkSession, prefix: str) -> None:
+    for t in reversed(TABLES):
+        io.drop_table(spark, prefix + t)
+
+
+def read_tables(spark: SparkSession, prefix: str) -> Star:
+    return Star(**{t: spark.table(prefix + t) for t in TABLES})
+
+
 # --- OLAP --------------------------------------------------------------------------------------
 
 def warehouse_counts(star: Star) -> DataFrame:
