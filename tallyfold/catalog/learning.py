@@ -191,20 +191,20 @@ s1 AS (SELECT 1 + ({_PICK} > v)::INT AS side, s0.* EXCLUDE (side) FROM s0, (SELE
 @query("boosting_first_round", _round_sql("y - p", "p * (1 - p)", 1.0, 0.3, 1.0))
 def boosting_first_round(t: Tables) -> DataFrame:
     """The first round of boosting on a label, grown level by level to depth two."""
-    model = models.fit_gbt(_cut_frame(t, "y"), maxIter=1, maxDepth=2)
+    model = models.fit_gbt(_cut_frame(t, "y"), maxIter=1, maxDepth=2, firstStep=None)
     return _cut_rows(t, model.trees[0], model.cuts, range(3), _sides(model.trees[0], 6))
 
 
 @query("boosting_leafy_first_round", _round_sql("y - p", "p * (1 - p)", 0.0, 0.1, 0.001))
 def boosting_leafy_first_round(t: Tables) -> DataFrame:
     """The first round grown best leaf first, to the four leaves that two levels have."""
-    model = models.fit_gbt(_cut_frame(t, "y"), preset="leafy", maxIter=1, maxDepth=2, maxLeaves=4)
+    model = models.fit_gbt(_cut_frame(t, "y"), preset="leafy", maxIter=1, maxDepth=2, maxLeaves=4, firstStep=None)
     return _cut_rows(t, model.trees[0], model.cuts, range(3), _sides(model.trees[0], 6))
 
 
 @query("boosting_amount_first_round", _round_sql("amount - m", "1.0", 1.0, 0.3, 1.0))
 def boosting_amount_first_round(t: Tables) -> DataFrame:
-    model = models.fit_gbt_reg(_cut_frame(t, "amount"), maxIter=1, maxDepth=2)
+    model = models.fit_gbt_reg(_cut_frame(t, "amount"), maxIter=1, maxDepth=2, firstStep=None)
     return _cut_rows(t, model.trees[0], model.cuts, range(3), _sides(model.trees[0], 6))
 
 

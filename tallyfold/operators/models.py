@@ -118,7 +118,7 @@ DEEPEST = 60  # trees without a stated depth grow until their nodes are pure
 # Names of the experiments' settings for trees and boosting, and what the engine calls them.
 TREE_SETTINGS = {"maxDepth": "depth", "minInstancesPerNode": "min_rows", "minSplit": "min_split", "minInfoGain": "min_gain", "maxLeaves": "leaves",
                  "featureSubsetStrategy": "share", "numTrees": "n_trees", "maxIter": "rounds", "stepSize": "step", "subsamplingRate": "rate",
-                 "columnRate": "columns", "minChildWeight": "min_weight", "l2": "ridge"}
+                 "columnRate": "columns", "minChildWeight": "min_weight", "l2": "ridge", "firstStep": "first_step"}
 
 
 def _settings(params: dict) -> dict:
@@ -156,10 +156,11 @@ def fit_forest_reg(df: DataFrame, label: str = "label", **params):
 
 
 # Named settings for the three boosting styles of the experiments: level by level, best leaf first, one cut a level.
+# The first tree counts whole, so that few rounds already fit; ``firstStep=None`` shrinks it like the others.
 BOOST_PRESETS = {
-    "depthwise": {"maxIter": 100, "stepSize": 0.3, "maxDepth": 6, "l2": 1.0, "minChildWeight": 1.0},
-    "leafy": {"maxIter": 100, "stepSize": 0.1, "maxDepth": DEEPEST, "maxLeaves": 31, "l2": 0.0, "minChildWeight": 1e-3, "minInstancesPerNode": 20},
-    "slow": {"maxIter": 1000, "stepSize": 0.03, "maxDepth": 6, "l2": 3.0, "minChildWeight": 0.0, "symmetric": True},
+    "depthwise": {"firstStep": 1.0, "maxIter": 100, "stepSize": 0.3, "maxDepth": 6, "l2": 1.0, "minChildWeight": 1.0},
+    "leafy": {"firstStep": 1.0, "maxIter": 100, "stepSize": 0.1, "maxDepth": DEEPEST, "maxLeaves": 31, "l2": 0.0, "minChildWeight": 1e-3, "minInstancesPerNode": 20},
+    "slow": {"firstStep": 1.0, "maxIter": 1000, "stepSize": 0.03, "maxDepth": 6, "l2": 3.0, "minChildWeight": 0.0, "symmetric": True},
 }
 
 

@@ -698,10 +698,11 @@ def _scored(tree: Tree):
 
 def fit_boosted(df: DataFrame, label: str, kind: str, rounds: int = 100, step: float = 0.1, depth: int = 6, leaves: int | None = None,
                 ridge: float = 1.0, min_weight: float = 1.0, min_rows: int = 1, min_gain: float = 0.0, rate: float = 1.0, columns: float = 1.0,
-                symmetric: bool = False, weight: str | None = None, id_col: str | None = None, seed: int = SEED) -> Ensemble:
+                symmetric: bool = False, first_step: float | None = None, weight: str | None = None, id_col: str | None = None, seed: int = SEED) -> Ensemble:
     """Gradient boosting with second derivatives; ``kind`` is "logit" for labels 0 and 1, "sum" for a number to predict.
 
-    A round grows one tree on the slopes of the loss and adds ``step`` of it to the scores, which stay with the rows.
+    A round grows one tree on the slopes of the loss and adds ``step`` of it to the scores, which stay with the rows; of the
+    first tree ``first_step``, if that is given.
     ``leaves`` grows best leaf first, ``symmetric`` one cut a level; ``rate`` and ``columns`` draw rows and features for
     each tree.
     """
@@ -717,7 +718,8 @@ def fit_boosted(df: DataFrame, label: str, kind: str, rounds: int = 100, step: f
             grow_symmetric(work.state, growing, sums)
         else:
             grow(work.state, [growing], [sums], leaves)
-        tree = _rebuilt(growing.tree(lambda a, b: step * np.divide(a, b + ridge, out=np.zeros(len(a)), where=b + ridge > 0)), growing.kept)
+        part = first_step if r == 0 and first_step is not None else step
+        tree = _rebuilt(growing.tree(lambda a, b: part * np.divide(a, b + ridge, out=np.zeros(len(a)), where=b + ridge > 0)), growing.kept)
         if len(tree.left) == 1 and rate >= 1 and columns >= 1:
             break  # nothing left to gain
         out.trees.append(tree)
