@@ -133,3 +133,55 @@ def test_candidates_do_not_grow_with_the_rows(spark, monkeypatch):
         reached = tree.reached(refs.limit(200).withColumnRenamed("rid", "qid"))
         met.append(reached.join(cells, "cell").agg({"count": "sum"}).first()[0] / 200)
     assert met[1] < 2.5 * met[0]
+
+
+@pytest.mark.parametrize("share", [0.0, 2.0])
+def test_packed_blocks_and_cells_agree(cloud, spark, monkeypatch, share):
+    """All pairs in packed blocks (share 0) and the cells under the tree (share 2) give what brute force gives."""
+    monkeypatch.setattr(neighbours, "SHARE", share)
+    monkeypatch.setattr(neighbours, "FAN", 4)
+    monkeypatch.setattr(neighbours, "LEAF", 30)
+    monkeypatch.setattr(neighbours, "PACK", 1024)
+    monkeypatch.setattr(neighbours, "ROWS", 16)
+    monkeypatch.setattr(neighbours, "COLS", 32)
+    for metric in neighbours.METRICS:
+        test_knn_join(cloud, metric)
+    test_radius_counts(cloud)
+    test_dbscan_vectors(cloud)
+
+
+def test_crowded_vectors_meet_in_packed_blocks(spark):
+    """Where no cell can be left out, rows grow with vectors and blocks, not with queries times cells."""
+    x = np.random.default_rng(3).normal(size=(3000, 32))
+    refs = spark.createDataFrame(pd.DataFrame({"rid": np.arange(len(x)), "vec": [r.tolist() for r in x]}))
+    tree = neighbours.PivotTree(refs, 3, "euclidean")
+    queries = refs.withColumnRenamed("rid", "qid")
+    assert tree.crowded(queries)
+    sizes = tree.over(queries, lambda qid, q, rid, r, _: pd.DataFrame({"n": [len(q) * len(r)]}), "n long").collect()
+    assert sum(s.n for s in sizes) == len(x) ** 2 and len(sizes) <= neighbours.SPREAD ** 2
+
+
+@pytest.mark.parametrize("metric", neighbours.METRICS)
+@pytest.mark.parametrize("scale,shift", [(1.0, 0.0), (1e-25, 0.0), (1e20, 0.0), (1.0, 1e6), (1.0, 1e12)])
+def test_rough_distances_decide_as_exact_ones(metric, scale, shift):
+    rng = np.random.default_rng(6)
+    x = np.vstack([rng.normal(size=(700, 5)), rng.integers(0, 3, (700, 5))]) * scale + shift
+    a, b, ids = x[::2], x[1::2], rng.permutation(len(x) // 2)
+    d = neighbours._distances(a, b, metric)
+    row, col, dist = neighbours._nearest_in(a, b, ids, 4, metric)
+    by_id = np.argsort(ids)
+    want = by_id[np.argsort(d[:, by_id], axis=1, kind="stable")[:, :4]]
+    assert (row == np.repeat(np.arange(len(a)), 4)).all() and (col.reshape(-1, 4) == want).all()
+    assert (dist == d[row, col]).all()
+    for eps in (0.0, np.sqrt(2) * scale, float(np.median(d))):
+        hit = np.zeros(d.shape, bool)
+        for i, j, part in neighbours._within(a, b, eps, metric):
+            hit[i: i + part.shape[0], j: j + part.shape[1]] = part
+        assert (hit == (d <= eps)).all()
+
+
+def test_components_that_are_no_numbers():
+    x = np.random.default_rng(7).normal(size=(40, 3))
+    x[3, 1], x[5] = np.nan, np.inf
+    row, col, dist = neighbours._nearest_in(x[:20], x[20:], np.arange(20), 2, "euclidean")
+    assert len(row) == 40 and np.isnan(dist[row == 3]).all()
