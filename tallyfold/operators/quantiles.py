@@ -65,8 +65,8 @@ def order_statistics(long: DataFrame, group: Sequence[str], probs: Sequence[floa
         last = F.last("here", ignorenulls=True).over(W.partitionBy(*keys).orderBy("place", F.col("i").isNotNull()).rowsBetween(W.unboundedPreceding, 0))
         found = line.withColumn("in", last).filter(F.col("i").isNotNull()).select(
             *group, "i", "part", "end", (F.col("place") - F.col("in.place")).alias("rank"), "in.digit", "in.value")
-        # Used twice by the next pass, and worth a pass over all values.
-        found = long.sparkSession.createDataFrame(found.collect(), found.schema) if few_groups else stage_table(found, "digits")
+        # Used twice by the next pass, and worth a pass over all values. A table made from Arrow has a known size: joins broadcast it.
+        found = long.sparkSession.createDataFrame(found.toArrow(), found.schema) if few_groups else stage_table(found, "digits")
         prefix = shift
     low, high = (F.max(F.when(F.col("end") == e, F.col("value"))).alias(name) for e, name in ((0, "low"), (1, "high")))
     return found.groupBy(*group, "i").agg(low, high, F.first("part").alias("part"))

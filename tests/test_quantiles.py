@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tallyfold.operators import stats
@@ -46,3 +47,22 @@ def test_center_of_few_rows(spark, n):
     xs = [float(i * i) for i in range(n)]
     r = stats.center_stats(spark.createDataFrame([(x,) for x in xs], "x double"), "x").first()
     assert r.median == float(np.median(xs)) and r.mode == 0.0 and r["mean"] == pytest.approx(np.mean(xs))
+
+
+def test_found_digits_are_broadcast_to_the_values(spark, tmp_path):
+    """What a pass has found is small and known to be so: no join moves the values to one task per column."""
+    x = np.random.default_rng(9).normal(size=3000)
+    spark.createDataFrame(pd.DataFrame({"a": x, "b": x * 2})).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2000b")
+    try:
+        plan = stats.fence_percentages(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
+
+
+def test_columns_without_values(spark):
+    df = spark.createDataFrame([(None, None), (None, None)], "a double, b double")
+    assert stats.exact_quantiles(df, ["a", "b"]).count() == 0
