@@ -33,8 +33,10 @@ def _chunk_window(group: Sequence[str]):
     return W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
 
 
-def _attach(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(side, null_safe_on(df, side, keys), "left").drop(*[side[k] for k in keys])
+def _attach(df: DataFrame, side: DataFrame, group: Sequence[str], chunk: str = CHUNK) -> DataFrame:
+    """A chunk is never null: equality on it finds rows that a window has already brought together by chunk alone."""
+    on = df[chunk] == side[chunk]
+    return df.join(side, null_safe_on(df, side, group) & on if group else on, "left").drop(*[side[k] for k in (*group, chunk)])
 
 
 def rank_in_chunks(df: DataFrame, order: Sequence[str | Column], group: Sequence[str] = (), name: str = "rank",
@@ -46,7 +48,7 @@ def rank_in_chunks(df: DataFrame, order: Sequence[str | Column], group: Sequence
     offsets = sizes.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     local = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     ranked = df.withColumn("__local", local)
-    return (_attach(ranked, offsets, keys)
+    return (_attach(ranked, offsets, group, chunk)
             .withColumn(name, (F.col("__before") + F.col("__local")).cast("long"))
             .drop("__before", "__local"))
 
@@ -58,8 +60,8 @@ def rank_by(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name
 
 def rank_by_hash(df: DataFrame, h: str, tie: str, group: Sequence[str] = (), name: str = "rank",
                  bits: int = 14) -> DataFrame:
-    """Row number in the order of a uniform 32-bit hash column; its leading bits are the chunks."""
-    chunked = df.withColumn(CHUNK, bucket_of(F.col(h), bits))
+    """Row number in the order of a uniform 32-bit hash column, null first; its leading bits are the chunks."""
+    chunked = df.withColumn(CHUNK, F.coalesce(bucket_of(F.col(h), bits), F.lit(-1)))
     return rank_in_chunks(chunked, [h, tie], group, name).drop(CHUNK)
 
 
@@ -79,7 +81,7 @@ def running_totals(df: DataFrame, order: Sequence[str], sums: dict[str, str], gr
         *[F.sum(f"__t_{o}").over(_chunk_window(group)).alias(f"total_{o}") for o in sums])
     inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     local = chunked.withColumns({f"__l_{o}": F.sum(c).over(inside) for o, c in sums.items()})
-    linked = _attach(local, offsets, keys).withColumns({o: F.col(f"__b_{o}") + F.col(f"__l_{o}") for o in sums})
+    linked = _attach(local, offsets, group).withColumns({o: F.col(f"__b_{o}") + F.col(f"__l_{o}") for o in sums})
     return linked.drop(CHUNK, *[f"__{p}_{o}" for o in sums for p in ("b", "l")])
 
 
@@ -101,7 +103,7 @@ def forward_fill(df: DataFrame, group: str, col: str, order: str, source: DataFr
     carried = ends.select(*keys, F.last("__last", ignorenulls=True).over(before).alias("__carry"))
     inside = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     local = chunked.withColumn("__here", F.last(col, ignorenulls=True).over(inside)).filter(F.col(col).isNull())
-    linked = _attach(local, carried, keys).select(order, F.coalesce("__here", "__carry").alias("__filled"))
+    linked = _attach(local, carried, [group]).select(order, F.coalesce("__here", "__carry").alias("__filled"))
     filled = stage_table(linked.filter(F.col("__filled").isNotNull()), "filled")
     out = df.join(filled, order, "left").withColumn(col, F.coalesce(F.col(col), F.col("__filled")))
     return out.select(*df.columns)
@@ -114,5 +116,5 @@ def with_previous(df: DataFrame, order: str, value: str, name: str) -> DataFrame
     before = W.partitionBy(F.lit(0)).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
     carried = ends.select(CHUNK, F.last("__end", ignorenulls=True).over(before).alias("__carry"))
     here = F.lag(value).over(W.partitionBy(CHUNK).orderBy(order))
-    linked = _attach(chunked.withColumn("__here", here), carried, [CHUNK])
+    linked = _attach(chunked.withColumn("__here", here), carried, [])
     return linked.withColumn(name, F.coalesce("__here", "__carry")).drop(CHUNK, "__here", "__carry")

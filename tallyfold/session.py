@@ -55,8 +55,8 @@ def recorded() -> Iterator[list[str]]:
         _RECORD.reset(token)
 
 
-def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once to shared storage and read it back.
+def stage_table(df: DataFrame, label: str = "stage", codec: str | None = None) -> DataFrame:
+    """Write ``df`` once to shared storage and read it back; ``codec`` names another compression than the session's.
 
     The result has no lineage, survives the loss of any executor, never changes between uses and
     has a known size on disk, so the optimizer broadcasts it only when it is really small.
@@ -66,7 +66,7 @@ def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     if _RECORD.get() is not None:
         _RECORD.get().append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

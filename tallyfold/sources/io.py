@@ -105,7 +105,7 @@ def load_fitted(spark: SparkSession, path: str):
 
 def create_table(spark: SparkSession, name: str, ddl: str) -> None:
     """Create an empty table unless it exists."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet OPTIONS (compression 'zstd')")
 
 
 def drop_table(spark: SparkSession, name: str) -> None:

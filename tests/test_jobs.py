@@ -109,3 +109,15 @@ def test_tables_and_bundles(spark, tmp_path):
     io.append_importances(imp, str(tmp_path / "imp"), "r1")
     io.append_importances(imp, str(tmp_path / "imp"), "r2")
     assert spark.read.parquet(str(tmp_path / "imp")).count() == 2
+
+
+def test_stored_star_writes_the_fact_alone(spark):
+    """Dimensions are written tables since they were built; a second copy of each would only cost disk."""
+    from tallyfold.session import staged
+
+    star = WH.load_star(LC.clean_loans(raw(spark, {}, {"Name": "OTHER"})).withColumnsRenamed(WH.RENAMES))
+    before = len(staged(spark))
+    stored = WH.stored_star(star)
+    assert len(staged(spark)) == before + 1
+    assert all(getattr(stored, t) is getattr(star, t) for t in WH.TABLES if t != "loans")
+    assert sorted(stored.loans.collect()) == sorted(star.loans.collect())

@@ -75,3 +75,19 @@ def test_median_mode(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (3.0,), (1.0,), (10.0,)], "x double")
     r = stats.center_stats(df, "x").first()
     assert (r["mean"], r["median"], r["mode"]) == (3.6, 3.0, 1.0)
+
+
+def test_rank_by_hash_links_chunks_without_moving_the_rows_again(spark):
+    """Offsets meet the ranked rows by the chunk they are already arranged by; a null hash comes first."""
+    rows = [(None, "x"), (None, "y"), (5, "b"), (5, "a"), (1 << 31, "c"), ((1 << 32) - 1, "d")]
+    ranked = ordered.rank_by_hash(spark.createDataFrame(rows, "h long, t string"), "h", "t")
+    assert [r.t for r in ranked.orderBy("rank").collect()] == ["x", "y", "a", "b", "c", "d"]
+    assert [r["rank"] for r in ranked.orderBy("rank").collect()] == [1, 2, 3, 4, 5, 6]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = spark.range(5000).select((F.col("id") * 800_000).alias("h"), F.col("id").cast("string").alias("t"))
+        plan = ordered.rank_by_hash(wide, "h", "t")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "coalesce(__chunk" not in plan.split("Window", 1)[0]  # no second exchange by a null-safe key
