@@ -198,3 +198,19 @@ def test_registered_models_run_their_defaults(monkeypatch):
     for name in names:
         getattr(learning, name)(Named(name))
     assert seen == {n: {"method": "isotonic"} if n == "calibrated_svc_isotonic" else {} for n in names}
+
+
+def test_permutation_moves_a_row_as_plain_columns(spark):
+    """The rows travel once a repeat by the leading bits of one long, without arrays or separate columns for repeat and chunk."""
+    import re
+
+    from pyspark.ml.functions import array_to_vector
+
+    from tallyfold.operators import interpret, models
+
+    rows = [(i, float(i % 7), float(i % 5), float(3 * (i % 7) + i % 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double").withColumn("features", array_to_vector(F.array("a", "b")))
+    found = interpret.permutation_importance(models.fit_linear(df, "y"), df, "id", "y", ["a", "b"], "r2", repeats=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(shiftright\(slot#\d+L, 20\)", plan) and not re.search(r"Exchange hashpartitioning\(repeat#\d+, b#", plan)
+    assert found.count() == 6 and found.filter("importance > 0").count() == 6
