@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators import models
 from tallyfold.operators import trees as T
+from tallyfold.session import stage_table
 
 
 def table(n=900, seed=3):
@@ -189,3 +190,18 @@ def test_scores_at_a_fixed_false_positive_rate(data):
                            splits=["validation"], fixed_fpr=0.1)
     found = runs.filter("parent_run_id IS NOT NULL").first().metrics
     assert found["fpr"] <= 0.1 < found["tpr"] and 0 < found["threshold"] <= 1
+
+
+def test_blocks_are_dealt_out_to_idle_cores(spark):
+    """Many blocks in one small file keep one core busy; the sums over them do not depend on how they lie."""
+    rows = [(i, float(i % 11), float(i % 3 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, x double, label double").withColumn("features", array_to_vector(F.array("x")))
+    cuts = T.find_cuts(df, 1)
+    frame = T.binned_blocks(df, "label", None, "id", cuts)
+    many = stage_table(frame.unionAll(frame).unionAll(frame).unionAll(frame).coalesce(1), "blocks")
+    state = T._state(many, 1, 0.0)
+    assert many.rdd.getNumPartitions() == 1 and state.getNumPartitions() == min(many.count(), 8)
+    one = T._Growing(1, T.Rules(1))
+    T.grow(state, [one], [lambda block: (block.w * block.y, block.w, np.ones(len(block.y)))])
+    assert one.total[0].tolist() == [4.0 * 134, 1600.0, 1600.0]
+    state.unpersist()
