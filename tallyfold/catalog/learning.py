@@ -28,7 +28,7 @@ def rows(t: Tables) -> DataFrame:
 
 
 def plan(t: Tables, strata=("y",)) -> DataFrame:
-    return stage_table(sampling.plan_splits(stage_table(rows(t).repartition("id"), "rows"), "id", list(strata)), "plan")
+    return stage_table(sampling.plan_splits(rows(t).repartition("id"), "id", list(strata)), "plan")
 
 
 def _class_run(t: Tables, name: str, number: int = 4, resampler: str = "none", **params) -> DataFrame:

@@ -27,14 +27,14 @@ def share(n: Column, part: int, whole: int) -> Column:
 
 
 def hash_cuts(df: DataFrame, id_col: str, strata: Sequence[str], targets: dict[str, Column],
-              seed: int | str = SEED) -> DataFrame:
+              seed: int | str = SEED, drawn: str | None = None) -> DataFrame:
     """(strata..., one struct(h, id) column per target): the last row, in hash order, of each target size.
 
     A target is an expression over ``total``, the number of rows in the stratum. Size 0 gives null, a size above the
-    total the last row of all.
+    total the last row of all. ``drawn`` names a column that already holds the hash.
     """
     strata = list(strata)
-    rows = df.select(*strata, hash32(F.col(id_col), seed).alias("h"), F.col(id_col).alias("id"))
+    rows = df.select(*strata, _hash(id_col, seed, drawn).alias("h"), F.col(id_col).alias("id"))
     rows = rows.withColumn("b", bucket_of(F.col("h"), BITS))
     over = W.partitionBy(*strata) if strata else W.partitionBy(F.lit(0))
     hist = rows.groupBy(*strata, "b").agg(F.count("*").alias("n"))
@@ -54,15 +54,22 @@ def hash_cuts(df: DataFrame, id_col: str, strata: Sequence[str], targets: dict[s
     return picks.groupBy(*strata).agg(*cuts)
 
 
+def _hash(id_col: str, seed: int | str, drawn: str | None) -> Column:
+    return F.col(drawn) if drawn else hash32(F.col(id_col), seed)
+
+
 def _pairs(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"m_{k}")) for k in keys])
 
 
 def with_cuts(df: DataFrame, id_col: str, strata: Sequence[str], targets: dict[str, Column],
-              seed: int | str = SEED) -> DataFrame:
-    """``df`` plus a boolean column per target: the row is among the first ``size`` of its stratum."""
-    cuts = hash_cuts(df, id_col, strata, targets, seed)
-    here = F.struct(hash32(F.col(id_col), seed).alias("h"), F.col(id_col).alias("id"))
+              seed: int | str = SEED, drawn: str | None = None, among: Column | None = None) -> DataFrame:
+    """``df`` plus a boolean column per target: the row is among the first ``size`` of its stratum.
+
+    Sizes are those of the rows that meet ``among``, if it is given; all rows are compared with the cuts.
+    """
+    cuts = hash_cuts(df if among is None else df.filter(among), id_col, strata, targets, seed, drawn)
+    here = F.struct(_hash(id_col, seed, drawn).alias("h"), F.col(id_col).alias("id"))
     if not strata:
         row, kind = cuts.first(), df.schema[id_col].dataType
         ends = {t: row and row[t] for t in targets}
@@ -76,31 +83,37 @@ def with_cuts(df: DataFrame, id_col: str, strata: Sequence[str], targets: dict[s
 
 
 def stratified_holdout(df: DataFrame, id_col: str, strata: Sequence[str] = (), test: int = 15, val: int = 15,
-                       whole: int = 100, seed: int = SEED) -> DataFrame:
+                       whole: int = 100, seed: int = SEED, drawn: str | None = None) -> DataFrame:
     """Column ``holdout``: test, val or train. Sizes are exact in every stratum."""
     total = F.col("total")
     n_test = share(total, test, whole)
     n_val = share(total - n_test, val, whole - test)
-    flagged = with_cuts(df, id_col, strata, {"__test": n_test, "__val": n_test + n_val}, seed)
+    flagged = with_cuts(df, id_col, strata, {"__test": n_test, "__val": n_test + n_val}, seed, drawn)
     name = F.when(F.col("__test"), "test").when(F.col("__val"), "val").otherwise("train")
     return flagged.withColumn("holdout", name).drop("__test", "__val")
 
 
-def kfold(df: DataFrame, id_col: str, strata: Sequence[str] = (), k: int = 5, seed: int = SEED + 1) -> DataFrame:
-    """Column ``fold`` in 1..k; fold sizes differ by at most one row in every stratum."""
+def kfold(df: DataFrame, id_col: str, strata: Sequence[str] = (), k: int = 5, seed: int = SEED + 1,
+          drawn: str | None = None, among: Column | None = None) -> DataFrame:
+    """Column ``fold`` in 1..k; fold sizes differ by at most one row in every stratum. Rows that do not meet ``among`` get null."""
     targets = {f"__f{j}": F.floor((F.col("total") * j + (k - 1)) / F.lit(k)).cast("long") for j in range(1, k)}
-    flagged = with_cuts(df, id_col, strata, targets, seed)
+    flagged = with_cuts(df, id_col, strata, targets, seed, drawn, among)
     fold = F.lit(k)
     for j in range(k - 1, 0, -1):
         fold = F.when(F.col(f"__f{j}"), F.lit(j)).otherwise(fold)
-    return flagged.withColumn("fold", fold.cast("int")).drop(*targets)
+    fold = fold.cast("int")
+    return flagged.withColumn("fold", fold if among is None else F.when(among, fold)).drop(*targets)
 
 
 def plan_splits(df: DataFrame, id_col: str, strata: Sequence[str] = (), k: int = 5, seed: int = SEED) -> DataFrame:
-    """``holdout`` for all rows and ``fold`` for the rows outside the test set (null inside it)."""
-    held = stratified_holdout(df, id_col, strata, seed=seed)
-    folds = kfold(held.filter("holdout <> 'test'"), id_col, strata, k, seed + 1)
-    return folds.unionByName(held.filter("holdout = 'test'"), allowMissingColumns=True)
+    """``holdout`` for all rows and ``fold`` for the rows outside the test set (null inside it).
+
+    The md5 of a row costs more than all else here, and every cut is looked for in several passes: both hashes are drawn once
+    and written with the rows.
+    """
+    hashes = {"__holdout": hash32(F.col(id_col), seed), "__fold": hash32(F.col(id_col), seed + 1)}
+    held = stratified_holdout(stage_table(df.withColumns(hashes), "hashed"), id_col, strata, seed=seed, drawn="__holdout")
+    return kfold(held, id_col, strata, k, seed + 1, "__fold", F.col("holdout") != "test").drop(*hashes)
 
 
 def named_split(plan: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:

@@ -79,3 +79,11 @@ def test_sizes_above_the_stratum_take_all_rows_and_too_large_a_factor_is_refused
     with pytest.raises(ValueError):
         sampling.balanced_plan(rows, "id", "y", factor=5)
     assert sampling.balanced_plan(rows, "id", "y", factor=2).filter("y = 0 AND holdout = 'train'").count() > 0
+
+
+def test_a_plan_draws_the_hashes_of_a_row_once(people):
+    """Cuts and folds read the written hashes; the rows that come out are compared with cuts and hashed no more."""
+    plan = sampling.plan_splits(people, "id", ["y"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "md5" not in text and "Union" not in text and plan.columns == ["id", "y", "g", "holdout", "fold"]
+    assert plan.filter("(holdout = 'test') <> (fold IS NULL)").count() == 0
