@@ -214,3 +214,23 @@ def test_permutation_moves_a_row_as_plain_columns(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Exchange hashpartitioning\(shiftright\(slot#\d+L, 20\)", plan) and not re.search(r"Exchange hashpartitioning\(repeat#\d+, b#", plan)
     assert found.count() == 6 and found.filter("importance > 0").count() == 6
+
+
+def test_folds_of_a_calibration_are_fitted_at_once(data, monkeypatch):
+    import threading
+
+    _, df = data
+    fit, meet = models.fit_linear_svc, threading.Barrier(5, timeout=120)
+
+    def waiting(*args):
+        meet.wait()  # broken unless all five folds are under way
+        return fit(*args)
+
+    one = models.fit_calibrated_svc(df, "id", "label", max_iter=3)
+    monkeypatch.setattr(models, "fit_linear_svc", waiting)
+    both = [one, models.fit_calibrated_svc(df, "id", "label", max_iter=3)]
+    assert np.allclose(*[[m.coefficients.toArray() for m in x.models] for x in both])
+    assert np.allclose(*[[c.intercept for c in x.calibrators] for x in both])
+    monkeypatch.setattr(models, "FITTED_CELLS", 1)
+    monkeypatch.setattr(models, "fit_linear_svc", fit)
+    assert len(models.fit_calibrated_svc(df, "id", "label", max_iter=3).models) == 5
