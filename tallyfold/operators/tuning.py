@@ -102,6 +102,22 @@ def _measured(train: DataFrame, evaluate: DataFrame, fit: Callable, score: Calla
     return {m: one[m] for m in names} | point | {"fit_time": float(fit_time), "score_time": float(score_time)}
 
 
+def _measured_together(train: DataFrame, evaluate: DataFrame, fit: Callable, settings: Sequence[Mapping], score: Callable, label: str) -> list[dict[str, float]]:
+    """:func:`_measured` of many settings whose models come from the same passes over the rows."""
+    models, fit_time = timed(lambda: fit.all(train, settings))
+    scored = evaluate
+    for i, model in enumerate(models):
+        made = score(model, scored)
+        scored = made.select(*scored.columns, F.col("prediction").cast("double").alias(f"__p{i}"))
+    said = F.array(*[F.col(f"__p{i}") for i in range(len(models))])
+    scored, score_time = timed(lambda: stage_table(scored.select(F.col(label), said.alias("said")), "scored"))
+    each = scored.select(label, F.posexplode("said").alias("setting", "prediction"))
+    report = {r["setting"]: r for r in classification_metrics(each, label, "prediction", ["setting"]).collect()}  # one row a setting
+    empty = None if len(report) == len(settings) else classification_metrics(each.limit(0), label, "prediction").first()
+    times = {"fit_time": fit_time / len(settings), "score_time": score_time / len(settings)}
+    return [{m: report.get(i, empty)[m] for m in CLASS_METRICS} | times for i in range(len(settings))]
+
+
 RUN_SCHEMA = ("experiment string, run_id string, parent_run_id string, name string, start_time double, "
               "metrics map<string,double>, params map<string,string>")
 
@@ -114,12 +130,18 @@ def tune(plan: DataFrame, name: str, prepare: Callable, fit: Callable, score: Ca
          label: str, task: str = "classification", k: int = 5, fixed_fpr: float | None = None) -> DataFrame:
     """(setting, metric, mean, std) over the folds for every setting. ``fit`` takes (train, **setting).
 
-    Each fold is encoded once and written; all settings are fitted on it.
+    Each fold is encoded once and written; all settings are fitted on it. A fit that offers ``all(train, settings)`` gives the
+    models of all settings together; their predictions are then written and counted together too, and times are shared out.
     """
     rows = []
     for j in range(1, k + 1):
         train, evaluate = (stage_table(part, "fold") for part in prepare(*named_split(plan, f"fold_{j}")))
-        for setting in combinations(grid):
+        settings = combinations(grid)
+        if hasattr(fit, "all") and task == "classification" and fixed_fpr is None:
+            found = _measured_together(train, evaluate, fit, settings, score, label)
+            rows += [(json.dumps(_text(s), separators=(",", ":")), m, v) for s, metrics in zip(settings, found) for m, v in metrics.items()]
+            continue
+        for setting in settings:
             metrics = _measured(train, evaluate, lambda t, s=setting: fit(t, **s), score, label, task, fixed_fpr)
             rows += [(json.dumps(_text(setting), separators=(",", ":")), m, v) for m, v in metrics.items()]
     found = plan.sparkSession.createDataFrame(rows, "setting string, metric string, value double")

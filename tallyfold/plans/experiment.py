@@ -67,7 +67,7 @@ def classifiers(label: str, id_col: str) -> dict[str, Callable]:
     return {
         "KNN": lambda df, **p: _Neighbours(df, id_col, label, p),
         "Logistic Regression": lambda df, **p: M.fit_logistic(df, label, **p),
-        "Gaussian NB": lambda df, **p: _naive(df, label, **p),
+        "Gaussian NB": _NaiveFit(label),
         "Linear SVC": lambda df, **p: M.fit_calibrated_svc(df, id_col, label, **p),
         "Decision Tree": lambda df, **p: M.fit_tree(df, label, **p),
         "Random Forest": lambda df, **p: M.fit_forest(df, label, **p),
@@ -112,9 +112,19 @@ def _unpacked(df: DataFrame, width: int) -> DataFrame:
     return df.withColumns({c: x[i] for i, c in enumerate(_slots(width))})
 
 
-def _naive(df: DataFrame, label: str, var_smoothing: float = 1e-9) -> _Naive:
-    width = len(df.select("features").first()[0])
-    return _Naive(M.GaussianNB(_slots(width), label, var_smoothing).fit(_unpacked(df, width)), width)
+class _NaiveFit:
+    """Fits naive Bayes; smoothing changes no moments, so all smoothings come from one fit."""
+
+    def __init__(self, label: str):
+        self.label = label
+
+    def __call__(self, df: DataFrame, var_smoothing: float = 1e-9) -> _Naive:
+        return self.all(df, [{"var_smoothing": var_smoothing}])[0]
+
+    def all(self, df: DataFrame, settings: Sequence[dict]) -> list[_Naive]:
+        width = len(df.select("features").first()[0])
+        fitted = M.GaussianNB(_slots(width), self.label).fit(_unpacked(df, width))
+        return [_Naive(fitted.with_smoothing(s.get("var_smoothing", 1e-9)), width) for s in settings]
 
 
 def run_model(plan: DataFrame, name: str, fit: Callable, prepare: Callable, experiment: str, label: str,

@@ -216,6 +216,22 @@ def test_permutation_moves_a_row_as_plain_columns(spark):
     assert found.count() == 6 and found.filter("importance > 0").count() == 6
 
 
+def test_smoothings_share_their_passes(data, monkeypatch):
+    """All settings of a fold come from one fit and one pass of scores, and give what each gives alone."""
+    _, df = data
+    plan = sampling.plan_splits(df.drop("features"), "id", ["label"]).cache()
+    prepare = X.prepare_with("classification", 4, ["c"], ["a", "b"], "label", "id")
+    fit, grid = X.classifiers("label", "id")["Gaussian NB"], {"var_smoothing": [1e-9, 0.3, 2.0]}
+    score = lambda m, d: m.transform(d)
+    alone = tuning.tune(plan, "nb", prepare, lambda d, **p: fit(d, **p), score, grid, "label", k=2)
+    fits = []
+    whole = models.GaussianNB.fit
+    monkeypatch.setattr(models.GaussianNB, "fit", lambda self, d: fits.append(1) or whole(self, d))
+    got = tuning.tune(plan, "nb", prepare, fit, score, grid, "label", k=2)
+    rows = lambda f: {(r.setting, r.metric): (r.mean, r.std) for r in f.collect() if not r.metric.endswith("_time")}
+    assert len(fits) == 2 and rows(got) == rows(alone) and len(rows(got)) == 3 * len(metrics.CLASS_METRICS)
+
+
 def test_folds_of_a_calibration_are_fitted_at_once(data, monkeypatch):
     import threading
 
