@@ -205,3 +205,36 @@ def test_blocks_are_dealt_out_to_idle_cores(spark):
     T.grow(state, [one], [lambda block: (block.w * block.y, block.w, np.ones(len(block.y)))])
     assert one.total[0].tolist() == [4.0 * 134, 1600.0, 1600.0]
     state.unpersist()
+
+
+def test_rounds_in_one_task_are_the_same(spark, data, monkeypatch):
+    """All rounds run in one job, whatever their number, and give the trees that a job for each level gives."""
+    *_, df = data
+    fits = [lambda: models.fit_gbt(df, "y", "slow", maxIter=12, maxDepth=4),
+            lambda: models.fit_gbt(df, "y", "leafy", maxIter=3, maxLeaves=6, subsamplingRate=0.5, columnRate=0.5)]
+    held = []
+    for i, fit in enumerate(fits):
+        spark.sparkContext.setJobGroup(f"rounds-{i}", "rounds")
+        held.append(fit())
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds-{i}")) < 40
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    monkeypatch.setattr(T, "ROUND_CELLS", 0)
+    for fit, one in zip(fits, held):
+        same_trees(one, fit())
+
+
+def test_joint_bins_are_told_apart():
+    rng = np.random.default_rng(5)
+    sizes = [7, 200, 3, 40, 256]
+    bins = np.stack([rng.integers(0, k, 3000) for k in sizes]).astype(np.uint8)
+    a, at = rng.normal(size=3000), rng.integers(0, 2, 3000)
+    routes = T.Tree(np.array([0, -1, -1]), np.array([2, 0, 0], np.uint8), np.array([1, -1, -1], np.int32), *[np.zeros(3)] * 3)
+    block = T.Block(bins, a, np.ones(3000), np.zeros(3000, np.uint64), a)
+    at = bins[0] > 2
+    for layout in (T.Layout(sizes), T.Layout(sizes, 1)):
+        found = T._spread(T._histograms(block, routes, [1, 2], lambda b: (a, None, None), layout, 0), layout)
+        for node in (0, 1):
+            for j in range(5):
+                assert np.allclose(found[node, j, :, 0], np.bincount(bins[j][at == node], a[at == node], 256))
+                assert np.array_equal(found[node, j, :, 2], np.bincount(bins[j][at == node], minlength=256))
+    assert len(T.Layout(sizes).groups) == 3
