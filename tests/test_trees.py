@@ -238,3 +238,9 @@ def test_joint_bins_are_told_apart():
                 assert np.allclose(found[node, j, :, 0], np.bincount(bins[j][at == node], a[at == node], 256))
                 assert np.array_equal(found[node, j, :, 2], np.bincount(bins[j][at == node], minlength=256))
     assert len(T.Layout(sizes).groups) == 3
+
+
+def test_draws_are_the_places_among_the_steps():
+    u = np.concatenate([np.random.default_rng(2).random(20_000), [0.0, 1 - 2.0 ** -53]])
+    steps = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(18)])
+    assert np.array_equal(T._drawn(u), np.searchsorted(steps, u, "right"))
