@@ -250,3 +250,16 @@ def test_folds_of_a_calibration_are_fitted_at_once(data, monkeypatch):
     monkeypatch.setattr(models, "FITTED_CELLS", 1)
     monkeypatch.setattr(models, "fit_linear_svc", fit)
     assert len(models.fit_calibrated_svc(df, "id", "label", max_iter=3).models) == 5
+
+
+def test_rings_of_permutations_take_turns(spark, monkeypatch):
+    """Large rings are shuffled a few at a time; the turns show neither in the scores nor in how many rows lie on disk at once."""
+    df = E.assemble(spark.createDataFrame([(i, float(i % 7), float(i % 5), float(3 * (i % 7) + i % 5)) for i in range(300)], "id long, a double, b double, y double"), ["a", "b"])
+    model, turns = models.fit_linear(df, "y"), []
+    found = lambda: sorted(map(tuple, interpret.permutation_importance(model, df, "id", "y", ["a", "b"], "r2", repeats=5).collect()))
+    whole, inner = found(), interpret._ring_scores
+    monkeypatch.setattr(interpret, "RING_ROWS", 700)
+    monkeypatch.setattr(interpret, "_ring_scores", lambda *args: turns.append(args[4:6]) or inner(*args))
+    got = found()
+    assert turns == [(1, 2), (3, 4), (5, 5)]
+    assert [r[:2] for r in got] == [r[:2] for r in whole] and np.allclose([r[2] for r in got], [r[2] for r in whole])
