@@ -212,9 +212,9 @@ def default_rate_by_nation(t: Tables) -> DataFrame:
 @query("duplicate_rows", """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY
 l_orderkey, l_linenumber ORDER BY l_partkey * 10000 + l_suppkey) AS rn FROM lineitem) WHERE rn > 1""")
 def duplicate_rows(t: Tables) -> DataFrame:
-    rows = t.lineitem.withColumn("__id", F.struct("l_orderkey", "l_linenumber", (F.col("l_partkey") * 10000 + F.col("l_suppkey")).alias("k")))
-    return rowsets.duplicate_rows(rows, ["l_orderkey", "l_linenumber"], "__id").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    shown = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    rows = t.lineitem.select(*shown, F.struct("l_orderkey", "l_linenumber", (F.col("l_partkey") * 10000 + F.col("l_suppkey")).alias("k")).alias("__id"))
+    return rowsets.duplicate_rows(rows, ["l_orderkey", "l_linenumber"], "__id").select(*shown)
 
 
 @query("whole_row_dedup", "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer")

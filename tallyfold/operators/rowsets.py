@@ -95,14 +95,16 @@ def duplicate_rows(df: DataFrame, cols: Sequence[str], row_id: str) -> DataFrame
     """Rows that repeat an earlier row over ``cols``, as many as there are beyond the first.
 
     Rows are ordered by ``row_id``, and by all columns where that repeats. Of rows equal in every column, all but one are
-    given. Only the first row of each group travels, never a whole group.
+    given. Only the first row of each group travels, never a whole group. The key travels as one value, in which null equals
+    null, so a join finds the first rows where they were picked; every column travels once.
     """
-    rows = df.withColumn("__all", F.struct(F.col(row_id), *df.columns))
-    first = rows.groupBy(*cols).agg(F.min("__all").alias("__first")).withColumnsRenamed({c: f"__k_{c}" for c in cols})
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in cols])
-    rows = rows.join(first, same).select(*df.columns, (F.col("__all") == F.col("__first")).alias("__is_first"))
+    rest = [c for c in df.columns if c not in cols]
+    rows = df.select(F.struct(*cols).alias("__key"), *rest)
+    at = F.struct(*sorted(rest, key=lambda c: c != row_id)) if rest else F.lit(0)  # within a group its key does not tell rows apart
+    first = rows.groupBy("__key").agg(F.min(at).alias("__first"), F.count("*").alias("__m"))
+    rows = rows.join(first, "__key").select(*[F.col(f"__key.{c}") if c in cols else F.col(c) for c in df.columns], "__m", (at == F.col("__first")).alias("__is_first"))
     later = rows.filter("NOT __is_first").select(*df.columns)
-    copies = rows.filter("__is_first").groupBy(*df.columns).agg(F.count("*").alias("__n")).filter("__n > 1")
+    copies = rows.filter("__is_first AND __m > 1").groupBy(*df.columns).agg(F.count("*").alias("__n")).filter("__n > 1")
     return later.unionAll(copies.withColumn("__i", F.explode(F.expr("sequence(2, __n)"))).select(*df.columns))
 
 

@@ -76,3 +76,21 @@ def test_contract_lists_every_failure(spark):
               contract.Field("x", "double", ge=0), contract.Field("gone", "int")]
     got = {(r.column, r["check"]): r.n_failed for r in contract.validate(df, fields).collect()}
     assert got == {("id", "unique"): 1, ("name", "not_null"): 1, ("name", "str_length(1)"): 1, ("x", "ge(0)"): 1, ("gone", "missing"): 1}
+
+
+def test_first_rows_are_met_where_they_were_picked(spark):
+    """Three shuffles: the groups, the rows that look for their first row, and the few first rows that may have copies."""
+    from tallyfold.operators import rowsets
+
+    rows = [(1, None, 5, "a"), (1, None, 4, "b"), (1, None, 4, "b"), (2, 7, 1, None), (2, 7, 1, None), (2, 7, 1, None), (2, 7, 1, "z"), (3, 3, 3, "x"), (None, None, 0, "q")]
+    df = spark.createDataFrame(rows, "k long, l long, o long, t string")
+    found = rowsets.duplicate_rows(df, ["k", "l"], "o")
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [(1, None, 4, "b"), (1, None, 5, "a"), (2, 7, 1, None), (2, 7, 1, None), (2, 7, 1, "z")]))
+    wide = spark.range(40).selectExpr("id % 7 AS k", "id AS o", "repeat('x', 100) AS t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rowsets.duplicate_rows(wide, ["k"], "o")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) <= 6 and "isnull" not in "".join(moved)
