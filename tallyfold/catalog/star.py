@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyfold.catalog.registry import LINE_ID, Tables, h32, query
 from tallyfold.operators.rowsets import keep_in
 from tallyfold.plans import warehouse as WH
-from tallyfold.session import stage_table
+from tallyfold.session import drop_staged, recorded, release_shuffles, stage_table
 from tallyfold.sources import io
 
 # Loan columns from a line, its order, customer, supplier and their nations; text both engines read.
@@ -115,7 +115,9 @@ def star(t: Tables) -> WH.Star:
     The narrow lines of an order are brought together before its wide loans are made: the join with large orders needs that
     anyway, and loans of one borrower then lie together, so that only one of them travels to the dimension.
     """
-    return WH.load_star(stage_table(loans(t, t.lineitem.repartition("l_orderkey")), "loans", "zstd"))
+    rows = stage_table(loans(t, t.lineitem.repartition("l_orderkey")), "loans", "zstd")
+    release_shuffles(t.spark)
+    return WH.load_star(rows)
 
 
 @query("dim_states", f"WITH {LOANS_SQL}, {STATES_SQL} SELECT * FROM states")
@@ -159,10 +161,15 @@ _STORED: dict[tuple[str, str], WH.Star] = {}  # application and folder to its wa
 
 
 def warehouse(t: Tables) -> WH.Star:
-    """The warehouse of a folder: loaded and written once, then asked by all OLAP queries of the session."""
+    """The warehouse of a folder: loaded and written once, then asked by all OLAP queries of the session.
+
+    Once the fact is written, the wide loans it was made from are removed, and the shuffle files with them.
+    """
     key = t.spark.sparkContext.applicationId, t.folder
     if key not in _STORED:
-        _STORED[key] = WH.stored_star(star(t))
+        with recorded() as paths:
+            _STORED[key] = WH.stored_star(star(t))
+        drop_staged(t.spark, [p for p in paths if p.rsplit("/", 1)[-1].startswith("loans-")])
     return _STORED[key]
 
 

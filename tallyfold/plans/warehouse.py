@@ -17,7 +17,7 @@ from tallyfold.functions.hashing import hash32
 from tallyfold.functions.scalars import date_parts
 from tallyfold.operators.ordered import rank_by_hash
 from tallyfold.operators.rowsets import lookup_key, upsert_first_wins
-from tallyfold.session import stage_table
+from tallyfold.session import release_shuffles, stage_table
 from tallyfold.sources import io
 
 # Column names of the cleaned loans and of the warehouse.
@@ -141,13 +141,21 @@ def build_loans(loans: DataFrame, star: Star, existing: DataFrame | None = None)
 
 
 def build_dimensions(loans: DataFrame, old: Star | None = None) -> Star:
-    """All five dimensions; with ``old`` the natural keys seen before keep their keys."""
+    """All five dimensions; with ``old`` the natural keys seen before keep their keys.
+
+    A dimension is a written table. The shuffle files it was made from go before the next one is begun, so that the disk holds
+    those of one dimension at a time.
+    """
     def was(name: str) -> DataFrame | None:
         return getattr(old, name) if old else None
 
-    states = build_states(loans, was("states"))
-    return Star(states, build_borrowers(loans, states, was("borrowers")), build_banks(loans, states, was("banks")),
-                build_dates(loans, was("dates")), build_loan_profiles(loans, was("loan_profiles")))
+    def written(dimension: DataFrame) -> DataFrame:
+        release_shuffles(loans.sparkSession)
+        return dimension
+
+    states = written(build_states(loans, was("states")))
+    return Star(states, written(build_borrowers(loans, states, was("borrowers"))), written(build_banks(loans, states, was("banks"))),
+                written(build_dates(loans, was("dates"))), written(build_loan_profiles(loans, was("loan_profiles"))))
 
 
 def load_star(loans: DataFrame, old: Star | None = None) -> Star:

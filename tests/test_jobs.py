@@ -121,3 +121,15 @@ def test_stored_star_writes_the_fact_alone(spark):
     assert len(staged(spark)) == before + 1
     assert all(getattr(stored, t) is getattr(star, t) for t in WH.TABLES if t != "loans")
     assert sorted(stored.loans.collect()) == sorted(star.loans.collect())
+
+
+def test_wide_loans_go_once_the_fact_is_written(spark):
+    from tallyfold.catalog import star
+    from tallyfold.catalog.registry import Tables
+    from tallyfold.session import staged
+
+    t, before = Tables(spark, "/root/testdata/sf0.001/."), set(staged(spark))  # a folder no other test asks for
+    held = star.warehouse(t)
+    mine = [p.rsplit("/", 1)[-1] for p in staged(spark) if p not in before]
+    assert any(p.startswith("star-loans-") for p in mine) and not any(p.startswith("loans-") for p in mine)
+    assert held.loans.count() == star.loans(t).count() and held.borrowers.count() > 0
